@@ -9,9 +9,16 @@ from pyspark.sql import DataFrame, SparkSession
 from daybook.operators.change_feed import current_state
 from daybook.operators.history import attribute_history
 from daybook.operators.snapshot_diff import snapshot_changes
+from daybook.operators.timestamps import resolve_timestamps
 from daybook.session import table
 
 
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The UTC instant of every full point in time, read by the stated conventions."""
+    found = resolve_timestamps(table(spark, sf_dir, "incidents"), table(spark, sf_dir, "source_files"))
+    return found.filter("departures = 0").selectExpr("record AS row_id", "field AS field_name", "utc_micros")
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every version of a disposition that changed."""
     return attribute_history(table(spark, sf_dir, "changelog"))
@@ -79,7 +86,7 @@ FROM diff JOIN n USING (k) WHERE k > 1 AND change_kind IS NOT NULL
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p4_found": p4_found, "p6_found": p6_found, "p7_found": p7_found}
+    return {"p1_found": p1_found, "p4_found": p4_found, "p6_found": p6_found, "p7_found": p7_found}
 
 
 def oracle_sql() -> dict[str, str]:
