@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from daybook.operators.change_feed import current_state
 from daybook.operators.history import attribute_history
+from daybook.operators.packed import NUMBERS, PROSE, unpack_fields
 from daybook.operators.snapshot_diff import snapshot_changes
 from daybook.operators.timestamps import resolve_timestamps
 from daybook.session import table
@@ -24,6 +25,16 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return attribute_history(table(spark, sf_dir, "changelog"))
 
 
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every value of a field that holds two or more."""
+    found = unpack_fields(
+        table(spark, sf_dir, "incidents"),
+        {"case_number_raw": NUMBERS, "disposition_raw": PROSE, "nature_raw": PROSE},
+        {"disposition_raw": table(spark, sf_dir, "disposition_map").select("raw_token"), "nature_raw": table(spark, sf_dir, "category_map").select("raw_token")},
+    )
+    return found.withColumnRenamed("record", "row_id")
+
+
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records in force after the last event."""
     return current_state(table(spark, sf_dir, "changelog"))
@@ -86,7 +97,7 @@ FROM diff JOIN n USING (k) WHERE k > 1 AND change_kind IS NOT NULL
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p1_found": p1_found, "p4_found": p4_found, "p6_found": p6_found, "p7_found": p7_found}
+    return {"p1_found": p1_found, "p4_found": p4_found, "p5_found": p5_found, "p6_found": p6_found, "p7_found": p7_found}
 
 
 def oracle_sql() -> dict[str, str]:
