@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from daybook.llm.encode import encode_documents
 from daybook.llm.groups import superseded_groups
+from daybook.llm.mixing import mix_documents
+from daybook.llm.reading import LEAST_WORDS, reading_levels, train_models
 from daybook.session import table
 
 
@@ -21,6 +23,27 @@ def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"))
 
 
+def p9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Copies of every document in the mix of mix_targets."""
+    return mix_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))[0]
+
+
+def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shares the mix reaches."""
+    return mix_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))[1]
+
+
+def p10_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reading band of every document."""
+    documents = table(spark, sf_dir, "documents")
+    return reading_levels(documents, train_models(documents, table(spark, sf_dir, "reading_labels")))
+
+
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """English documents of at least forty words whose band is 4 or 5."""
+    return p10_levels(spark, sf_dir).filter(f"english AND n_words >= {LEAST_WORDS} AND band >= 4").select("doc_id")
+
+
 P3_SQL = """
 WITH RECURSIVE r AS (SELECT DISTINCT lower(trim(incident_uid)) AS u FROM incidents WHERE trim(incident_uid) <> ''),
 l AS (SELECT DISTINCT lower(trim(incident_uid)) AS a, lower(trim(superseded_by)) AS b FROM incidents WHERE lower(trim(superseded_by)) IN (SELECT u FROM r)),
@@ -31,7 +54,7 @@ SELECT n AS incident_uid, min(m) AS group_uid FROM reach GROUP BY n
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p3_found": p3_found, "p8_ids": p8_ids}
+    return {"p3_found": p3_found, "p8_ids": p8_ids, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found, "p10_levels": p10_levels}
 
 
 def oracle_sql() -> dict[str, str]:
