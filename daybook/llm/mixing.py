@@ -80,9 +80,34 @@ def round_fractions(items: list[tuple], seed: int) -> tuple[list[tuple], tuple |
     return settled, held
 
 
+def round_pool(items: list[tuple], seed: int) -> tuple[list[tuple], tuple | None]:
+    """Like :func:`round_fractions` for items that all have one fraction, largest first.
+
+    Each item meets the pool of all later ones, whose common fraction takes up
+    the mass it gives or takes; so large items are settled while there is
+    enough to make up for them, and what is left over is one of the smallest.
+    """
+    settled, q = [], items[0][2] if items else 0.0
+    rest = sum(x[1] for x in items)
+    for k, (i, s, _) in enumerate(items):
+        rest -= s
+        if q in (0.0, 1.0) or k == len(items) - 1:
+            if q in (0.0, 1.0):
+                settled += [(x[0], int(q)) for x in items[k:]]
+                return settled, None
+            return settled, (i, s, q)
+        (_, _, p), (_, _, q) = pivot((i, s, q), (f"{i}+", rest, q), seed)
+        if p in (0.0, 1.0):
+            settled.append((i, int(p)))
+        else:
+            settled += [(x[0], int(q)) for x in items[k + 1 :]]
+            return settled, (i, s, p)
+    return settled, None
+
+
 def _map_side(seed: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: dict[str, tuple] = {}
+        held: dict[str, list[tuple]] = {}
         part = TaskContext.get().partitionId()
         for pdf in batches:
             out: list[tuple] = []
@@ -92,12 +117,19 @@ def _map_side(seed: int):
                 for record, source, size, fraction in zip(block["record"], block["source"], block["size"], block["fraction"], strict=True):
                     by_source.setdefault(source, []).append((int(record), float(size), _snap(float(fraction))))
                 for source, items in by_source.items():
-                    settled, left = round_fractions([*([held.pop(source)] if source in held else []), *items], seed)
+                    one = len({x[2] for x in items}) == 1
+                    settled, left = (round_pool if one else round_fractions)(items, seed)
                     out.extend((r, source, 0.0, float(x), True, part) for r, x in settled)
                     if left:
-                        held[source] = left
+                        held.setdefault(source, []).append(left)
             yield _frame(out)
-        yield _frame([(r, source, size, fraction, False, part) for source, (r, size, fraction) in held.items()])
+        out = []
+        for source, items in held.items():
+            settled, left = round_fractions(sorted(items, key=lambda x: (-x[1], x[0])), seed)
+            out.extend((r, source, 0.0, float(x), True, part) for r, x in settled)
+            if left:
+                out.append((left[0], source, left[1], left[2], False, part))
+        yield _frame(out)
 
     return run
 
