@@ -6,13 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from daybook.llm.canonical import map_values, meant_entries
 from daybook.llm.encode import encode_documents
 from daybook.llm.groups import superseded_groups
 from daybook.llm.mixing import mix_documents
 from daybook.llm.reading import LEAST_WORDS, reading_levels, train_models
+from daybook.operators.packed import PROSE
 from daybook.session import table
 
 
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Map entries meant by the dispositions and natures of each record."""
+    lists = {"disposition_raw": table(spark, sf_dir, "disposition_map").select("raw_token"), "nature_raw": table(spark, sf_dir, "category_map").select("raw_token")}
+    mapped = map_values(table(spark, sf_dir, "incidents"), {"disposition_raw": PROSE, "nature_raw": PROSE}, lists)
+    return meant_entries(mapped).withColumnRenamed("record", "row_id")
+
+
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One group identifier for all records tied by superseded_by."""
     return superseded_groups(table(spark, sf_dir, "incidents"))
@@ -54,7 +63,7 @@ SELECT n AS incident_uid, min(m) AS group_uid FROM reach GROUP BY n
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p3_found": p3_found, "p8_ids": p8_ids, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found, "p10_levels": p10_levels}
+    return {"p2_found": p2_found, "p3_found": p3_found, "p8_ids": p8_ids, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found, "p10_levels": p10_levels}
 
 
 def oracle_sql() -> dict[str, str]:
