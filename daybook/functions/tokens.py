@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from daybook.functions.dates import let
+
 #: Agencies whose numbers may stand in a case number, in the order they are listed.
 AGENCIES = ("NUPD", "HTPD", "MCSO", "CSA", "GEN")
 MARKER = "audit_marker"
@@ -38,12 +40,26 @@ def before_and_after_marker(tokens: Column, is_marker) -> tuple[Column, Column]:
     return superseded, current
 
 
-def _known(tokens: Column, lookup: Column) -> Column:
-    return F.filter(tokens, lambda t: F.try_element_at(lookup, fold_token(t)).isNotNull())
+def _looked_up(tokens: Column, lookup: Column, fold) -> Column:
+    """Tokens with their entries: array of struct(token, entry)."""
+    return F.transform(tokens, lambda t: F.struct(t.alias("token"), F.try_element_at(lookup, fold(t)).alias("entry")))
+
+
+def _sides(looked_up: Column, body) -> Column:
+    """``body`` of (superseded, current, unknown) token structs."""
+
+    def of(split: Column) -> Column:
+        return body(split["superseded"], split["current"], split["unknown"])
+
+    def split(known: Column, unknown: Column) -> Column:
+        superseded, current = before_and_after_marker(known, lambda x: x["entry"]["role"] == MARKER)
+        return F.struct(superseded.alias("superseded"), current.alias("current"), unknown.alias("unknown"))
 
+    def parts(x: Column) -> Column:
+        known, unknown = F.filter(x, lambda t: t["entry"].isNotNull()), F.filter(x, lambda t: t["entry"].isNull())
+        return let(F.struct(known.alias("known"), unknown.alias("unknown")), lambda k: let(split(k["known"], k["unknown"]), of))
 
-def _role(lookup: Column, token: Column) -> Column:
-    return F.try_element_at(lookup, fold_token(token))["role"]
+    return let(looked_up, parts)
 
 
 def categorize(nature: Column, lookup: Column) -> Column:
@@ -52,46 +68,54 @@ def categorize(nature: Column, lookup: Column) -> Column:
     Offences and markers give categories; the other roles are listed as
     written.  Tokens the list lacks are in ``unclassified``.
     """
-    tokens = tokenize(nature)
-    known = _known(tokens, lookup)
-    superseded, current = before_and_after_marker(known, lambda t: _role(lookup, t) == MARKER)
-
-    def values(of: Column) -> Column:
-        giving = F.filter(of, lambda t: _role(lookup, t).isin("offense", MARKER))
-        return F.array_distinct(F.flatten(F.transform(giving, lambda t: F.try_element_at(lookup, fold_token(t))["values"])))
-
-    def listed(role: str) -> Column:
-        return F.filter(current, lambda t: _role(lookup, t) == role)
-
-    categories = values(current)
-    earlier = F.array_except(values(superseded), categories)
-    return F.struct(
-        categories.alias("categories"),
-        earlier.alias("reclassified_from"),
-        ((F.size(earlier) > 0) | (F.size(superseded) > 0)).alias("was_reclassified"),
-        listed("object").alias("objects"),
-        listed("activity").alias("activity"),
-        listed("channel").alias("channels"),
-        F.filter(tokens, lambda t: F.try_element_at(lookup, fold_token(t)).isNull()).alias("unclassified"),
-    )
+
+    def body(superseded: Column, current: Column, unknown: Column) -> Column:
+        def values(of: Column) -> Column:
+            giving = F.filter(of, lambda t: t["entry"]["role"].isin("offense", MARKER))
+            return F.array_distinct(F.flatten(F.transform(giving, lambda t: t["entry"]["values"])))
+
+        def listed(role: str) -> Column:
+            return F.transform(F.filter(current, lambda t: t["entry"]["role"] == role), lambda t: t["token"])
+
+        found = F.struct(values(current).alias("now"), values(superseded).alias("before"))
+        return let(
+            found,
+            lambda v: F.struct(
+                v["now"].alias("categories"),
+                F.array_except(v["before"], v["now"]).alias("reclassified_from"),
+                (F.size(superseded) > 0).alias("was_reclassified"),
+                listed("object").alias("objects"),
+                listed("activity").alias("activity"),
+                listed("channel").alias("channels"),
+                F.transform(unknown, lambda t: t["token"]).alias("unclassified"),
+            ),
+        )
+
+    return _sides(_looked_up(tokenize(nature), lookup, fold_token), body)
 
 
 def disposition_flags(disposition: Column, lookup: Column) -> Column:
     """Flags of a disposition: struct(flags, disposition_amended, superseded_flags, unclassified).
 
-    ``superseded_flags`` keeps repeats; unknown tokens are listed folded.
+    Tokens are folded once; ``superseded_flags`` keeps repeats; unknown tokens
+    are listed folded.
     """
-    tokens = F.filter(F.transform(tokenize(disposition), fold_token), lambda t: t != "")
-    known = _known(tokens, lookup)
-    superseded, current = before_and_after_marker(known, lambda t: _role(lookup, t) == MARKER)
-    values = lambda of: F.flatten(F.transform(of, lambda t: F.try_element_at(lookup, t)["values"]))
-    flags = F.array_distinct(values(current))
-    return F.struct(
-        flags.alias("flags"),
-        (F.size(superseded) > 0).alias("disposition_amended"),
-        F.filter(values(superseded), lambda f: ~F.array_contains(flags, f)).alias("superseded_flags"),
-        F.filter(tokens, lambda t: F.try_element_at(lookup, t).isNull()).alias("unclassified"),
-    )
+    folded = F.filter(F.transform(tokenize(disposition), fold_token), lambda t: t != "")
+
+    def body(superseded: Column, current: Column, unknown: Column) -> Column:
+        values = lambda of: F.flatten(F.transform(of, lambda t: t["entry"]["values"]))
+        found = F.struct(F.array_distinct(values(current)).alias("now"), values(superseded).alias("before"))
+        return let(
+            found,
+            lambda v: F.struct(
+                v["now"].alias("flags"),
+                (F.size(superseded) > 0).alias("disposition_amended"),
+                F.filter(v["before"], lambda f: ~F.array_contains(v["now"], f)).alias("superseded_flags"),
+                F.transform(unknown, lambda t: t["token"]).alias("unclassified"),
+            ),
+        )
+
+    return _sides(_looked_up(folded, lookup, lambda t: t), body)
 
 
 def agencies(case_number: Column, names: tuple[str, ...] = AGENCIES) -> Column:

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.functions.tokens import fold_token, split_flags
+from daybook.functions.tokens import fold_token
 from daybook.session import bounded_rows
 
 #: Most entries of a reference list.
@@ -40,13 +42,14 @@ def lookup_column(entries: DataFrame, values: str | None, key: str = "raw_token"
         raise MappingError(f"spellings disagree: {[r['spellings'] for r in wrong]}")
     has_role = role in entries.columns
     picked = entries.select(fold_token(F.col(key)).alias("k"), (F.col(role) if has_role else F.lit(None)).alias("r"), F.col(values).alias("v")).dropDuplicates(["k"])
-    pairs: list[Column] = []
-    for k, r, v in bounded_rows(picked, LIST_BOUND, "the reference list"):
-        pairs += [F.lit(k), F.struct(F.lit(r).cast("string").alias("role"), split_flags(F.lit(v).cast("string")).alias("values")) if has_role else F.lit(v)]
-    if not pairs:
-        kind = "map<string,struct<role:string,values:array<string>>>" if has_role else "map<string,string>"
-        return F.create_map().cast(kind)
-    return F.create_map(*pairs)
+    rows = bounded_rows(picked, LIST_BOUND, "the reference list")
+    # A text literal, which the optimizer folds into one map: much smaller in the plan than a map built entry by entry.
+    if has_role:
+        entries_of = {k: {"role": r, "values": [x for x in (v or "").split("|") if x]} for k, r, v in rows}
+        kind = "map<string,struct<role:string,values:array<string>>>"
+    else:
+        entries_of, kind = {k: v for k, _, v in rows}, "map<string,string>"
+    return F.from_json(F.lit(json.dumps(entries_of)), kind)
 
 
 def unmapped_tokens(tokens: DataFrame, entries: DataFrame, key: str = "raw_token") -> DataFrame:

@@ -1 +1 @@
-
+"""Micro-batch processing of arriving snapshots and change events."""
