@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import json
 import re
+from bisect import bisect_right
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
@@ -47,6 +48,7 @@ PROSE = Grammar(r"[;；|\r\n]|(?<=\s)/|(?<=\s)[•·](?=\s)", True, "prose")
 NUMBERS = Grammar(r"[,/;；|\r\n&+]|(?<=[\s\"”])and(?=[\s\"“])", False, "numbers")
 
 _QUOTES = {'"': '"', "“": "”", "„": "“", "«": "»"}
+_BLANKS = re.compile(r"\s*")
 _BULLET = re.compile(r"[•·*‣▪–-]\s+")
 _ENUMERATED = re.compile(r"\(?(\d{1,3})[.)]\s+")
 _INLINE = re.compile(r"(?:(?<=^)|(?<=\s))(?:\((\d{1,3})\)|(\d{1,3})[.)])\s+")
@@ -83,40 +85,51 @@ def known_spans(text: str, automaton: ahocorasick.Automaton | None) -> list[tupl
     return spans
 
 
+def _closers(text: str, close: str, marks: re.Pattern, bullets: bool) -> tuple[list[int], dict[int, tuple[int, bool]]]:
+    """(places of quotes that can end a value, run of quotes by its start: (length, followed by a delimiter)).
+
+    A quote ends a value before a delimiter or the end of the text; doubled
+    straight quotes are an escape, so only a run of odd length ends one.
+    """
+    ends, runs = [], {}
+    for m in re.finditer(re.escape(close) + ("+" if close == '"' else ""), text):
+        after = _BLANKS.match(text, m.end()).end()
+        followed = after == len(text) or bool(marks.match(text, m.end()) or marks.match(text, after) or (bullets and _INLINE.match(text, after)))
+        runs[m.start()] = (m.end() - m.start(), followed)
+        if followed and (m.end() - m.start()) % 2:
+            ends.append(m.end() - 1)
+    return ends, runs
+
+
 def _quoted_spans(text: str, marks: re.Pattern, bullets: bool) -> list[tuple[int, int]]:
     """Spans of quoted values: a quote opens where a value begins and closes before a delimiter or the end."""
-    spans, at = [], 0
-    begins = re.compile(r"\s*")
-    while at < len(text):
-        start = begins.match(text, at).end()
-        if bullets:
-            mark = _BULLET.match(text, start) or _ENUMERATED.match(text, start)
-            start = mark.end() if mark else start
+    if not any(q in text for q in _QUOTES):
+        return []
+    begins = [0, *(m.end() for m in marks.finditer(text))]
+    if bullets:
+        begins = sorted({*begins, *(m.end() for m in _INLINE.finditer(text))})
+    closers: dict[str, tuple[list[int], dict[int, tuple[int, bool]]]] = {}
+    spans, done = [], 0
+    for at in begins:
+        if at < done:
+            continue
+        start = _BLANKS.match(text, at).end()
+        mark = bullets and (_BULLET.match(text, start) or _ENUMERATED.match(text, start))
+        start = mark.end() if mark else start
         close = _QUOTES.get(text[start : start + 1])
-        if close:
-            k = start + 1
-            while k < len(text):
-                k = text.find(close, k)
-                if k < 0:
-                    break
-                if text[k + 1 : k + 2] == close and close == '"':
-                    k += 2
-                    continue
-                after = begins.match(text, k + 1).end()
-                if after == len(text) or marks.match(text, k + 1) or marks.match(text, after) or (bullets and _INLINE.match(text, after)):
-                    spans.append((start, k + 1))
-                    break
-                k += 1
-            if spans and spans[-1][0] == start:
-                at = spans[-1][1]
-        following = marks.search(text, at)
-        inline = _INLINE.search(text, max(at, start)) if bullets else None
-        if inline and (not following or inline.start() < following.start()) and inline.start() > at:
-            at = inline.start()
+        if not close:
             continue
-        if not following:
-            break
-        at = max(following.end(), at + 1)
+        ends, runs = closers.setdefault(close, _closers(text, close, marks, bullets)) if close not in closers else closers[close]
+        length, followed = runs.get(start, (1, False)) if close == text[start] else (1, False)
+        if followed and length > 1 and length % 2 == 0:  # the quote opens a run whose rest closes it
+            stop = start + length
+        else:
+            k = bisect_right(ends, start + length - 1)
+            if k == len(ends):
+                continue
+            stop = ends[k] + 1
+        spans.append((start, stop))
+        done = stop
     return spans
 
 
@@ -163,7 +176,9 @@ def split_packed(text: str | None, grammar: Grammar = PROSE, automaton: ahocoras
         token = _undo(text, grammar.bullets)
         return [token] if token else []
     quoted = _quoted_spans(text, marks, grammar.bullets)
-    cuts = [c for c in cuts if not any(a <= c[0] < b for a, b in quoted)]
+    if quoted:
+        starts = [a for a, _ in quoted]
+        cuts = [c for c in cuts if not ((k := bisect_right(starts, c[0])) and c[0] < quoted[k - 1][1])]
     cuts = _best_cover(text, cuts, known_spans(text, automaton), known_worth)
     out, at = [], 0
     for start, stop in [*cuts, (len(text), len(text))]:
@@ -187,14 +202,32 @@ def _compiled(grammar: Grammar) -> re.Pattern:
 def _best_cover(text: str, cuts: list[tuple[int, int]], known: list[tuple[int, int]], known_worth: float) -> list[tuple[int, int]]:
     """The cuts of the cover worth most: a cut counts CUT_WORTH, a known value that stays whole ``known_worth``.
 
-    Only known values with a delimiter inside can lose by a cut, so the dynamic
-    programme runs over the cuts with, at each, the last cut made.
+    Only a known value with a delimiter inside can lose by a cut.  Cuts outside
+    of such values are always made; values that overlap form a cluster, and the
+    dynamic programme runs over the cuts within each cluster.
     """
-    over = [(a, b) for a, b in known if any(a < s and e < b for s, e in cuts)]
+    starts = [s for s, _ in cuts]
+    over = sorted((a, b) for a, b in known if (k := bisect_right(starts, a)) < len(cuts) and cuts[k][1] < b)
     if not over:
         return cuts
-    # best[k]: most worth of the text before cut k where cut k is made; a known value is kept if no made cut lies inside it.
-    points = [(-1, 0), *cuts, (len(text), len(text))]
+    clusters: list[tuple[int, int, list[tuple[int, int]]]] = []
+    for a, b in over:
+        if clusters and a < clusters[-1][1]:
+            first, last, members = clusters[-1]
+            clusters[-1] = (first, max(last, b), [*members, (a, b)])
+        else:
+            clusters.append((a, b, [(a, b)]))
+    made, at = [], 0
+    for first, last, members in clusters:
+        low, high = bisect_right(starts, first), bisect_right(starts, last - 1)
+        made += cuts[at:low]
+        made += _cover_cluster(cuts[low:high], members, first, last, known_worth)
+        at = high
+    return made + cuts[at:]
+
+
+def _cover_cluster(cuts: list[tuple[int, int]], over: list[tuple[int, int]], first: int, last: int, known_worth: float) -> list[tuple[int, int]]:
+    points = [(first, first), *cuts, (last, last)]
     best, come = [0.0] * len(points), [0] * len(points)
     for k in range(1, len(points)):
         score, arg = None, 0
