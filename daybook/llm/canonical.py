@@ -146,6 +146,9 @@ class Matcher:
             self.automaton.make_automaton()
         self.resolve = lru_cache(200_000)(self._resolve)
         self.idle = lru_cache(50_000)(_idle)
+        # A value with more different words than this is below the threshold whatever they are: each word that isn't met costs at least IDLE.
+        largest = max((sum(map(_weight, set(words))) for words in self.words), default=0.0)
+        self.most_words = int((2 / threshold - 1) * largest / IDLE) + max((len(set(words)) for words in self.words), default=0) + 1
 
     def _resolve(self, token: str) -> tuple[tuple[str, float], ...]:
         """Words of the reference list that ``token`` may stand for, with how sure that is, surest first."""
@@ -240,6 +243,9 @@ class Matcher:
         return [self.entries[best[0]]] if best and best[1] >= self.threshold else []
 
     def _most_similar(self, tokens: list[tuple[str, tuple]]) -> tuple[int, float] | None:
+        tokens = list(dict.fromkeys(tokens))
+        if len(tokens) > self.most_words:
+            return None
         candidates = {k for _, means in tokens for m, _ in means for k in self.having.get(m, ()) if m not in LIGHT_WORDS}
         scored = [(self._similarity(tokens, k), -len(self.words[k]), -k) for k in candidates]
         if not scored:
