@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from daybook.functions.identity import FIELDS, canonical_reported, case_references, corroborates, is_cosmetic, is_renumbering, normalize_case_number, strictly_within
+from daybook.session import cut_lineage
 
 # Groups of statuses; they differ on purpose.
 STILL_PUBLISHED = ("active", "missing")
@@ -140,7 +141,8 @@ def merge(existing: DataFrame, observed: DataFrame, files: DataFrame, today: str
     existing = existing.select(*ARCHIVE_COLUMNS)
     once = last_observed(observed)
     files = files.select("source_file_id", F.coalesce("fetched", F.lit(False)).alias("fetched"), "name", "month", F.coalesce("removed", F.lit(False)).alias("removed"), F.coalesce("repurposed", F.lit(False)).alias("repurposed"))
-    matches = match_renumbered(existing, once, files.filter("fetched"))
+    # Matches are few and used in three places; the joined rows make up all results.  Both are worked out once.
+    matches = cut_lineage(match_renumbered(existing, once, files.filter("fetched")))
 
     e = existing.select(*[F.col(c).alias(f"e_{c}") for c in ARCHIVE_COLUMNS])
     o_columns = [*FIELDS, "incident_uid", "content_hash", "source_file_id", "source_row_index", "flags", "student_flag", "source_era", "source_month"]
@@ -204,6 +206,7 @@ def merge(existing: DataFrame, observed: DataFrame, files: DataFrame, today: str
         .otherwise(base_flags),
     }
     out = j.select(*[rows[c].alias(c) for c in ARCHIVE_COLUMNS], d.alias("decision"), _events(day).alias("events"), F.col("outcome").alias("match_outcome"))
+    out = cut_lineage(out)
     decisions = out.select("incident_uid", "decision", "match_outcome")
     events = out.select(F.inline("events"))
     return MergeResult(out.select(*ARCHIVE_COLUMNS), events, guard.filter("quarantined").select("source_file_id"), decisions)

@@ -293,7 +293,7 @@ def snapshot_change_only(spark, d):
     return ladders.changed_only(one, ["uid"], ["snapshot_date", "snapshot_seq"], "h").select("snapshot_date", "snapshot_seq", "uid")
 
 
-@query("SELECT min(log_pos) AS log_pos FROM changelog GROUP BY ALL EXCLUDE (log_pos)" if False else """SELECT min(log_pos) AS log_pos FROM changelog GROUP BY observed_date, run_seq, incident_uid, change_type, field_name, old_value, new_value, cosmetic, revision, case_number, date_reported, nature, source_file_id, from_file_id, to_file_id,
+@query("""SELECT min(log_pos) AS log_pos FROM changelog GROUP BY observed_date, run_seq, incident_uid, change_type, field_name, old_value, new_value, cosmetic, revision, case_number, date_reported, nature, source_file_id, from_file_id, to_file_id,
   missing_since, was_missing_since, confirmations, previous_status, last_known_disposition, superseded_by, possible_replacement, source_month, removal_mechanism, event_source, capture_timestamp""")
 def changelog_dedupe(spark, d):
     return ladders.distinct_events(table(spark, d, "changelog"), "log_pos").select("log_pos")

@@ -14,8 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from daybook.operators.merge import CONFIRMATIONS, MergeResult, merge
-from daybook.session import cut_lineage
+from daybook.operators.merge import CONFIRMATIONS, merge
 from daybook.sinks.archive import write_version
 from daybook.sources.landed import read_archive, read_pointer
 
@@ -26,8 +25,7 @@ def apply_run(spark: SparkSession, root: str, observed: DataFrame, files: DataFr
     if current is not None and current >= run:
         return False
     result = merge(read_archive(spark, root), observed, files, run[:10], confirm_withdrawals)
-    settled = MergeResult(cut_lineage(result.rows), cut_lineage(result.events), result.quarantined, cut_lineage(result.decisions))
-    write_version(spark, root, settled, run)
+    write_version(spark, root, result, run)
     return True
 
 

@@ -14,6 +14,6 @@ from daybook.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session("tests", 4, **{"spark.sql.shuffle.partitions": "4", "spark.driver.memory": "4g"})
+    session = local_session("tests", 4, **{"spark.sql.shuffle.partitions": "4", "spark.driver.memory": "4g", "spark.sql.codegen.wholeStage": "false", "spark.sql.adaptive.enabled": "false"})
     yield session
     session.stop()
