@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -49,20 +50,51 @@ def settings(spark: SparkSession, conf: dict[str, str]) -> Iterator[None]:
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """``df`` written to the reliable checkpoint folder and read back.
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The reliable checkpoint folder: that of the context, else the one in ``spark.checkpoint.dir``.
 
-    The folder is the one in ``spark.checkpoint.dir``; only where the cluster
-    names none (tests on one machine) a temporary folder is set.
+    Only where the cluster names none (tests on one machine) a temporary folder
+    is set.
     """
-    spark = df.sparkSession
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         folder = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
         sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="daybook-checkpoint-"))
+    return sc.getCheckpointDir()
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """``df`` written to the reliable checkpoint folder and read back, with its partitions as they are."""
+    checkpoint_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+class Written:
+    """Tables written to the checkpoint folder, one after the other, by a job of many rounds.
+
+    Unlike a checkpoint, a table read back has its true size: estimates that
+    were carried through the joins of many rounds would grow beyond all bounds.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.root = f"{checkpoint_folder(spark)}/daybook-{uuid.uuid4().hex}"
+        self.paths: list[str] = []
+
+    def write(self, df: DataFrame) -> DataFrame:
+        path = f"{self.root}/{len(self.paths)}"
+        df.write.parquet(path)
+        self.paths.append(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop_before(self, keep: int) -> None:
+        """Deletes all but the last ``keep`` tables."""
+        jvm = self.spark.sparkContext._jvm
+        for path in self.paths[: len(self.paths) - keep]:
+            target = jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def clean_key(column: Column | str) -> Column:
     """A key without surrounding blanks, in lower case; blank becomes null."""
     c = F.col(column) if isinstance(column, str) else column
