@@ -3,7 +3,7 @@
 Minimum labels are propagated across edges and accelerated by pointer jumping:
 every round, each label points to its smallest neighbour, pointers jump to
 their targets' targets, and edges are drawn between the new labels.  Rounds are
-checkpointed and end when no edge joins different labels, that is when no label
+written to the checkpoint folder and end when no edge joins different labels, that is when no label
 can change.  Edges shrink at least by half each round.
 
 A label may belong to any part of all rows.  Messages are combined before the
@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daybook.session import clean_key, cut_lineage
+from daybook.session import Written, clean_key
 
 #: A key with more than one row in this many is hot; so there are fewer hot keys than this.
 HOT_SHARE = 500
@@ -59,7 +59,8 @@ def connected_groups(edges: DataFrame, left: str = "left", right: str = "right",
     """
     a, b = F.col(left), F.col(right)
     pairs = edges.filter(a.isNotNull() & b.isNotNull() & (a != b)).select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct()
-    pairs = cut_lineage(pairs)
+    written = Written(edges.sparkSession)
+    pairs = written.write(pairs)
     labels = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().withColumn("label", F.col("node"))
     for _ in range(rounds):
         count = pairs.count()
@@ -67,15 +68,15 @@ def connected_groups(edges: DataFrame, left: str = "left", right: str = "right",
             break
         both = pairs.select(F.col("a").alias("node"), F.col("b").alias("other")).union(pairs.select(F.col("b"), F.col("a")))
         pointers = both.groupBy("node").agg(F.min("other").alias("other")).select("node", F.least("node", "other").alias("to"))
-        pointers = cut_lineage(pointers)
+        pointers = written.write(pointers)
         total = pointers.count()
         for _ in range(JUMPS):
-            pointers = look_up(pointers, "to", pointers, "next", total).select("node", F.col("next").alias("to"))
-        pointers = cut_lineage(pointers)
+            pointers = written.write(look_up(pointers, "to", pointers, "next", total).select("node", F.col("next").alias("to")))
         moved = look_up(look_up(pairs, "a", pointers, "x", count), "b", pointers, "y", count)
-        pairs = cut_lineage(moved.filter("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
+        pairs = written.write(moved.filter("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
         labels = look_up(labels, "label", pointers, "next", labels.count()).select("node", F.col("next").alias("label"))
-        labels = cut_lineage(labels)
+        labels = written.write(labels)
+        written.drop_before(2)  # the new pairs and labels stay
     else:
         raise RuntimeError(f"labels still change after {rounds} rounds")
     return labels

@@ -85,7 +85,8 @@ def round_pool(items: list[tuple], seed: int) -> tuple[list[tuple], tuple | None
 
     Each item meets the pool of all later ones, whose common fraction takes up
     the mass it gives or takes; so large items are settled while there is
-    enough to make up for them, and what is left over is one of the smallest.
+    enough to make up for them, and what is left over is small unless large
+    items make up nearly all of the source.
     """
     settled, q = [], items[0][2] if items else 0.0
     rest = sum(x[1] for x in items)
