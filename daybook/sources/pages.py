@@ -77,17 +77,19 @@ def parse_legacy(pages: DataFrame, html: str = "html", month: str = "month") ->
     without a case number are passed over.  Dead pages give no rows.
     """
     rows = F.filter(table_rows(F.col(html)), lambda r: F.size(r) == len(LEGACY_HEADER))
-    exploded = pages.select(F.col(month).alias("source_month"), F.posexplode(rows).alias("place", "cells"))
-    header = F.transform("cells", plain_text)
-    wrong = (F.col("place") == 0) & (header != F.array(*[F.lit(h) for h in LEGACY_HEADER]))
-    checked = exploded.withColumn("cells", F.when(wrong, F.raise_error(F.concat(F.lit("legacy header: "), F.array_join(header, "|"))).cast("array<string>")).otherwise(F.col("cells")))
+    header = F.transform(F.try_element_at(rows, F.lit(1)), plain_text)
+    wrong = header != F.array(*[F.lit(h) for h in LEGACY_HEADER])
+    failed = F.raise_error(F.concat(F.lit("legacy header: "), F.array_join(header, "|"))).cast("array<array<string>>")
+    # The header is part of the array that is exploded, so no filter can be moved before its check.
+    body = F.when(wrong, failed).otherwise(F.slice(rows, F.lit(2), F.greatest(F.size(rows) - 1, F.lit(0))))
+    checked = pages.select(F.col(month).alias("source_month"), F.posexplode(body).alias("place", "cells"))
     c = lambda k: F.col("cells")[k]
     one_line = lambda k: collapse(F.replace(bullets(c(k)), F.lit("; "), F.lit(" ")))
     where, outcome = split_location(c(4)), split_disposition(c(5))
-    out = checked.filter("place > 0").select(
+    out = checked.select(
         bullets(c(0)).alias("case_number_raw"), one_line(1).alias("date_reported_raw"), one_line(2).alias("date_occurred_raw"), bullets(c(3)).alias("nature_raw"), F.lit("").alias("narrative_raw"),
         where["campus"].alias("campus_raw"), where["location"].alias("location_raw"), outcome["text"].alias("disposition_raw"), outcome["student_flag"].alias("student_flag"), "source_month",
-        F.lit("legacy-page").alias("source_era"), (F.col("place")).alias("source_row_index"),
+        F.lit("legacy-page").alias("source_era"), (F.col("place") + 1).alias("source_row_index"),
     )
     return out.filter("case_number_raw <> ''")
 
