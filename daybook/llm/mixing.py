@@ -19,7 +19,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from daybook.llm.encode import encode_documents
@@ -193,9 +193,8 @@ def mix_plan(sized: DataFrame, targets: DataFrame, total: float | None = None) -
     want = want.groupBy("source").agg(F.sum("target_share").alias("target_share"), F.max("max_repeats").alias("max_repeats"))
     have = sized.groupBy("source").agg(F.sum("size").alias("available"))
     plan = want.join(have, "source", "left").fillna(0, ["available"])
-    room = F.min(F.when(F.col("available") > 0, F.col("available") * F.col("max_repeats") / F.col("target_share"))).alias("room")
-    largest = plan.agg(room)
-    plan = plan.crossJoin(F.broadcast(largest))  # one row
+    room = F.min(F.when(F.col("available") > 0, F.col("available") * F.col("max_repeats") / F.col("target_share")))
+    plan = plan.withColumn("room", room.over(Window.partitionBy()))  # a row a source
     size = F.col("room") if total is None else F.least(F.col("room"), F.lit(float(total)))
     copies = F.when(F.col("available") > 0, F.least(F.col("max_repeats").cast("double"), F.col("target_share") * size / F.col("available"))).otherwise(0.0)
     return plan.select("source", "target_share", "max_repeats", "available", (F.col("target_share") * size).alias("wanted"), copies.alias("copies"))
@@ -222,7 +221,6 @@ def mix_documents(documents: DataFrame, targets: DataFrame, path: str | None = N
     mix = with_copies.join(extra, "record", "left").select("doc_id", "source", F.col("size").alias("n_tokens"), (F.col("whole") + F.coalesce("extra", F.lit(0))).cast("int").alias("copies"))
     mix = cut_lineage(mix)
     reached = mix.groupBy("source").agg(F.sum(F.col("copies") * F.col("n_tokens")).alias("reached"))
-    all_of = reached.agg(F.sum("reached").alias("all"))
-    report = plan.join(reached, "source", "left").crossJoin(F.broadcast(all_of))
+    report = plan.join(reached, "source", "left").withColumn("all", F.sum("reached").over(Window.partitionBy()))  # a row a source
     report = report.select("source", "target_share", "max_repeats", "available", F.coalesce("reached", F.lit(0)).alias("reached"), F.when(F.col("all") > 0, F.coalesce("reached", F.lit(0)) / F.col("all")).otherwise(0.0).alias("reached_share"))
     return mix, report
