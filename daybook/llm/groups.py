@@ -2,9 +2,12 @@
 
 Minimum labels are propagated across edges and accelerated by pointer jumping:
 every round, each label points to its smallest neighbour, pointers jump to
-their targets' targets, and edges are drawn between the new labels.  Rounds are
-written to the checkpoint folder and end when no edge joins different labels, that is when no label
-can change.  Edges shrink at least by half each round.
+their targets' targets until none changes (a step for each doubling of the
+depth), and edges are drawn between the new labels.  Steps are written to the
+checkpoint folder; rounds end when no edge joins different labels, that is when
+no label can change.  Labels that still have an edge shrink at least by half
+every two rounds: one that took in no other label has only neighbours that went
+to smaller ones, so it goes to a smaller one itself in the next round.
 
 A label may belong to any part of all rows.  Messages are combined before the
 shuffle, and the joins on a label look up the hot ones (of which there can be
@@ -22,8 +25,6 @@ from daybook.session import Written, clean_key
 HOT_SHARE = 500
 #: Below so many rows no key is treated as hot.
 HOT_LEAST = 50_000
-#: Jumps of each pointer a round.
-JUMPS = 2
 
 
 def _hot_keys(rows: DataFrame, key: str, total: int) -> list:
@@ -51,7 +52,7 @@ def look_up(rows: DataFrame, key: str, pointers: DataFrame, out: str, total: int
     return joined(rows.filter(~is_hot), pointers).unionByName(joined(rows.filter(is_hot), F.broadcast(pointers.filter(F.col("node").isin(hot)))))
 
 
-def connected_groups(edges: DataFrame, left: str = "left", right: str = "right", rounds: int = 60) -> DataFrame:
+def connected_groups(edges: DataFrame, left: str = "left", right: str = "right") -> DataFrame:
     """node and label (the smallest node of its group) of every node of an edge.
 
     Loops and repeated edges, in either direction, count once; rows with a null
@@ -59,26 +60,26 @@ def connected_groups(edges: DataFrame, left: str = "left", right: str = "right",
     """
     a, b = F.col(left), F.col(right)
     pairs = edges.filter(a.isNotNull() & b.isNotNull() & (a != b)).select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct()
-    written = Written(edges.sparkSession)
+    written, steps = Written(edges.sparkSession), Written(edges.sparkSession)
     pairs = written.write(pairs)
     labels = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().withColumn("label", F.col("node"))
-    for _ in range(rounds):
-        count = pairs.count()
-        if not count:
-            break
+    while count := pairs.count():
         both = pairs.select(F.col("a").alias("node"), F.col("b").alias("other")).union(pairs.select(F.col("b"), F.col("a")))
         pointers = both.groupBy("node").agg(F.min("other").alias("other")).select("node", F.least("node", "other").alias("to"))
-        pointers = written.write(pointers)
+        pointers = steps.write(pointers)
         total = pointers.count()
-        for _ in range(JUMPS):
-            pointers = written.write(look_up(pointers, "to", pointers, "next", total).select("node", F.col("next").alias("to")))
+        jumping = True
+        while jumping:
+            jumped = steps.write(look_up(pointers, "to", pointers, "next", total).select("node", F.col("next").alias("to"), (F.col("next") != F.col("to")).alias("moves")))
+            jumping = bool(jumped.filter("moves").limit(1).count())
+            pointers = jumped.select("node", "to")
+            steps.drop_before(1)
         moved = look_up(look_up(pairs, "a", pointers, "x", count), "b", pointers, "y", count)
         pairs = written.write(moved.filter("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
         labels = look_up(labels, "label", pointers, "next", labels.count()).select("node", F.col("next").alias("label"))
         labels = written.write(labels)
         written.drop_before(2)  # the new pairs and labels stay
-    else:
-        raise RuntimeError(f"labels still change after {rounds} rounds")
+        steps.drop_before(0)
     return labels
 
 

@@ -99,6 +99,12 @@ def test_groups_by_union_find(spark, monkeypatch, hot):
     assert {r.node: r.label for r in got.collect()} == union_find(edges)
 
 
+def test_groups_of_a_long_ordered_chain(spark):
+    chain = [f"r{k:05d}" for k in range(10_001)]
+    got = groups.connected_groups(spark.createDataFrame(list(zip(chain, chain[1:])), "left string, right string"))
+    assert {r.node: r.label for r in got.collect()} == dict.fromkeys(chain, chain[0])
+
+
 def test_superseded(spark):
     schema = "incident_uid string, superseded_by string, left string, node string"
     rows = [("a", " B ", "", ""), ("b", "c", "", ""), ("C", None, "", ""), ("d", "nobody", "", ""), ("e", "", "", ""), ("f", "F", "", ""), ("a", "b", "", "")]
