@@ -3,9 +3,9 @@
 The words of a value are first brought to the words of the reference list
 (letter variants, misspellings, abbreviations, synonyms).  A multi-pattern
 automaton over the canonical names then finds the names embedded in the value;
-of overlapping ones the longest wins.  Values in which nothing is embedded go
-to token-set similarity, and what stays below its threshold is reported as
-unmatched.
+of overlapping ones the longest wins.  Values in which nothing is embedded, and
+the words around embedded names, go to token-set similarity; a value of which
+all stays below its threshold is reported as unmatched.
 
 The reference list and its index are small and checked to be so; values are
 matched a batch at a time in Arrow tasks without any shuffle, each different
@@ -221,7 +221,7 @@ class Matcher:
         return best[1]
 
     def match(self, value: str) -> list[str]:
-        """The entries meant by ``value``: those embedded in it, else the most similar one; empty where none is meant."""
+        """The entries meant by ``value``: those embedded in it and meant by its other words, else the most similar one; empty where none is meant."""
         tokens = self._tokens(value)
         if not tokens:
             return []
@@ -233,15 +233,40 @@ class Matcher:
                 if all(start + length <= a or start >= a + n for a, n, _ in taken):
                     taken.append((start, length, ks))
             covered = sum(len(line[a : a + n].split()) for a, n, _ in taken)
-            # A name of one or two words inside a long other text is a coincidence unless most of the text is covered.
-            if taken and covered >= 0.5 * len(tokens):
-                best = self._most_similar(tokens)
-                if len(taken) == 1 and best and best[0] not in taken[0][2] and best[1] > self._similarity(tokens, taken[0][2][0]):
-                    return [self.entries[best[0]]]
-                return [self.entries[k] for _, _, ks in sorted(taken) for k in ks]
+            # A name of one word inside a long other text is a coincidence unless most of the text is covered.
+            if covered < 0.5 * len(tokens):
+                taken = [t for t in taken if len(line[t[0] : t[0] + t[1]].split()) > 1]
+            if taken:
+                return self._with_rest(tokens, line, taken)
         best = self._most_similar(tokens)
         return [self.entries[best[0]]] if best and best[1] >= self.threshold else []
 
+    def _with_rest(self, tokens: list[tuple[str, tuple]], line: str, taken: list[tuple[int, int, list[int]]]) -> list[str]:
+        """The entries embedded at ``taken`` and those that the words before, between and behind them mean.
+
+        A single embedded entry gives way to one with a word of it that the
+        whole value is more similar to.  Words left over mean an entry only
+        with two of its words (or all), as one word is a coincidence.
+        """
+        best = self._most_similar(tokens)
+        if len(taken) == 1 and best and best[1] >= self.threshold:
+            hit = taken[0][2]
+            if best[0] not in hit and set(self.words[best[0]]) & set(self.words[hit[0]]) and best[1] > self._similarity(tokens, hit[0]):
+                return [self.entries[best[0]]]
+        found: list[int] = []
+        at = seen = 0
+        for start, length, ks in [*sorted(taken), (len(line) - 1, 0, [])]:
+            first = at + line[seen:start].count(" ")
+            rest = self._most_similar(tokens[at:first])
+            if rest and rest[1] >= self.threshold:
+                words = set(self.words[rest[0]])
+                if len({m for _, means in tokens[at:first] for m, _ in means} & words) >= min(2, len(words)):
+                    found.append(rest[0])
+            found += ks
+            seen = start + length
+            at = first + line[start:seen].count(" ")
+        return [self.entries[k] for k in dict.fromkeys(found)]
+
     def _most_similar(self, tokens: list[tuple[str, tuple]]) -> tuple[int, float] | None:
         tokens = list(dict.fromkeys(tokens))
         if len(tokens) > self.most_words:

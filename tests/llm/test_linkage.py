@@ -70,6 +70,20 @@ def test_rows(spark):
     assert canonical.map_values(spark.createDataFrame([], schema), {"disposition_raw": PROSE}, lists).collect() == []
 
 
+@pytest.mark.parametrize(
+    ("value", "entries"),
+    [
+        ("during the night patrol along north lot a grey sedan blocked the gate vehicle towed", ["vehicle towed"]),
+        ("vehicle towed after the long night patrol along the north lot gate; inquiry closed", ["vehicle towed", "inquiry closed"]),
+        ("vehicle towed in the night, camra footge was reviewd", ["vehicle towed", "camera footage reviewed"]),
+        ("complainant could by phone not be reached, vehicle towed", ["complainant could not be reached", "vehicle towed"]),
+        ("blackmail letters hung along the long corridor by the north lot gate", []),
+    ],
+)
+def test_entries_inside_long_values(value, entries):
+    assert MATCHER.match(value) == entries
+
+
 def union_find(edges):
     parent = {}
 
