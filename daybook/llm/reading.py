@@ -3,8 +3,8 @@
 Smoothed unigram language models, one a reading band, are trained on the
 labelled documents; a document gets the band with the highest posterior
 likelihood.  Words are weighed by a document's word counts, whole texts are
-read, and a document's language is told by how many of its words the models
-know.
+read, and a document's language is told by its function words, whatever the
+labels.
 
 The models are a table of word counts; its size is bounded by the vocabulary
 kept (words of at least ``least_documents`` labelled documents, the most
@@ -29,9 +29,19 @@ VOCABULARY = 50_000
 LEAST_DOCUMENTS = 2
 #: Dirichlet smoothing: weight of the overall word shares within a band's own counts.
 SMOOTHING = 50.0
-#: Least part of a document's words that are known for it to count as English, and least words.
-KNOWN_SHARE = 0.5
+#: Least part of a document's words that are English function words for it to count as English, and least words.
+FUNCTION_SHARE = 0.05
 LEAST_WORDS = 40
+# Function words of English, and of languages around it; words of both are left out.
+ENGLISH_WORDS = frozenset(
+    "the of and to that for it with by not his but at are this have from or they which were she there would their been who will if out what about "
+    "into than them only other these then any such because while where when whether should could can after before between through during its each your you my our".split()
+)
+OTHER_WORDS = frozenset(
+    "el la los las un una del que en y por con para se su sus de al lo como le les des du et est une dans pour sur qui avec au aux ce cette son sa ses pas par "
+    "der das und den dem ein eine einen einer zu von mit auf ist im nicht sich des il di che per della dei nel gli non sono da do dos das uma um os em não "
+    "het een van voor dat zijn niet och att det som på og til".split()
+)
 _WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*")
 
 
@@ -80,35 +90,40 @@ def train_models(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE,
     return {"table": table, "priors": priors}
 
 
-def score(text: str | None, table: dict[str, list[float]], priors: list[float], known_share: float = KNOWN_SHARE) -> tuple[int, int, bool, float]:
+def score(text: str | None, table: dict[str, list[float]], priors: list[float], function_share: float = FUNCTION_SHARE) -> tuple[int, int, bool, float]:
     """(band or 0, blank-separated words, English, mean band under the posterior a word) of one text."""
     if not text or not text.strip():
         return 0, 0, False, 0.0
-    total, known, n = list(priors), 0, 0
+    total, known, n, function, other = list(priors), 0, 0, 0, 0
     for w, k in Counter(words_of(text)).items():
         n += k
+        if w in ENGLISH_WORDS:
+            function += k
+        elif w in OTHER_WORDS:
+            other += k
         logs = table.get(w)
         if logs:
             known += k
             for b in range(len(total)):
                 total[b] += k * logs[b]
     blank_separated = len(text.split())
+    english = function > other and function >= function_share * n
     if not known:
-        return 0, blank_separated, False, 0.0
+        return 0, blank_separated, english, 0.0
     best = max(range(len(total)), key=lambda b: (total[b], -b))
     # Posterior at the temperature of single words, as a graded measure next to the band.
     soft = [math.exp((t - total[best]) / known) for t in total]
     level = sum(b * s for b, s in zip(BANDS, soft, strict=True)) / sum(soft)
-    return BANDS[best], blank_separated, known >= known_share * n, level
+    return BANDS[best], blank_separated, english, level
 
 
-def reading_levels(documents: DataFrame, models: dict, known_share: float = KNOWN_SHARE) -> DataFrame:
+def reading_levels(documents: DataFrame, models: dict, function_share: float = FUNCTION_SHARE) -> DataFrame:
     """doc_id, band, level, n_words and english of every document.
 
     ``band`` is the most likely band, 0 for null, empty and blank texts and for
     texts without a known word; ``level`` grades between bands; ``english``
-    says whether at least ``known_share`` of the words are known.  Repeated
-    documents are each scored; texts of any length are read whole.
+    says whether at least ``function_share`` of the words are function words of
+    English and fewer are those of other languages.  Repeated documents are each scored; texts of any length are read whole.
     """
     shared = documents.sparkSession.sparkContext.broadcast(models)
     schema = pa.schema([("doc_id", pa.int64()), ("band", pa.int32()), ("level", pa.float64()), ("n_words", pa.int64()), ("english", pa.bool_())])
@@ -116,7 +131,7 @@ def reading_levels(documents: DataFrame, models: dict, known_share: float = KNOW
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, priors = shared.value["table"], shared.value["priors"]
         for batch in batches:
-            scored = [score(t.as_py(), table, priors, known_share) for t in batch.column(1)]
+            scored = [score(t.as_py(), table, priors, function_share) for t in batch.column(1)]
             columns = [batch.column(0), [s[0] for s in scored], [round(s[3], 6) for s in scored], [s[1] for s in scored], [s[2] for s in scored]]
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) if isinstance(c, list) else c for c, f in zip(columns, schema, strict=True)], schema=schema)
 

@@ -129,6 +129,17 @@ def test_held_out_bands(spark):
     assert sum((got[k].band >= 4) == (true[k] >= 4) for k in held) / len(held) > 0.85
 
 
+def test_the_language_does_not_depend_on_the_number_of_labels(spark):
+    hard = "To the extent that retrospective reconciliation of records is required, the custodian shall determine whether supplementary disclosures are warranted by law. "
+    mixed = "La conductora encontró una cámara junto al río y el guardia de la biblioteca denunció los daños que vio en el garaje. The guard saw it."
+    rows = [(1, hard * 3, "", "", ""), (2, mixed * 3, "", "", ""), (3, "Der Wachmann hat das Rad in der Halle gefunden und im Büro abgegeben. " * 4, "", "", "")]
+    docs, labels, _ = labelled(spark)
+    for few in (0, 4, 300):
+        models = reading.train_models(docs.filter(f"doc_id < {few}"), labels)
+        got = {r.doc_id: r.english for r in reading.reading_levels(spark.createDataFrame(rows, DOCS), models).collect()}
+        assert got == {1: True, 2: False, 3: False}
+
+
 def test_language_and_odd_texts(spark):
     docs, labels, _ = labelled(spark)
     models = reading.train_models(docs, labels)
