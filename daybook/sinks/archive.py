@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,6 +40,31 @@ def point(spark: SparkSession, root: str, version: str) -> None:
         raise OSError(f"the pointer to {version} couldn't be set")
 
 
+def _write_json(spark: SparkSession, path: str, content: dict) -> str:
+    """One JSON document as a file, staged beside its place so that no half of it can be read."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    staged = jvm.org.apache.hadoop.fs.Path(target.getParent(), f"_{target.getName()}")
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    stream = fs.create(staged, True)
+    stream.write(bytearray((json.dumps(content, indent=2, sort_keys=True, ensure_ascii=False, default=str) + "\n").encode()))
+    stream.close()
+    fs.delete(target, False)
+    if not fs.rename(staged, target):
+        raise OSError(f"{path} couldn't be written")
+    return path
+
+
+def write_run_record(spark: SparkSession, folder: str, record: dict, day: str) -> str:
+    """The record of a run (``RUN_SCHEMA``), one file a day; written whether or not anything changed."""
+    return _write_json(spark, f"{folder}/{day}.json", {"date": day} | record)
+
+
+def write_manifest(spark: SparkSession, path: str, manifest: dict) -> str:
+    """The whole manifest (``MANIFEST_SCHEMA``), written anew each run."""
+    return _write_json(spark, path, manifest)
+
+
 def append_snapshots(index: DataFrame, landed: DataFrame) -> DataFrame:
     """Snapshots to be added to ``index``: those of ``landed`` (source_file_id, date, seq, sha256, bytes) whose content differs from the one before."""
     both = index.select("source_file_id", "date", "seq", "sha256", "bytes", F.lit(False).alias("new")).unionByName(landed.select("source_file_id", "date", "seq", "sha256", "bytes", F.lit(True).alias("new")))
@@ -57,4 +84,4 @@ def verify_snapshots(before: DataFrame, after: DataFrame, files: DataFrame | Non
     return lost.unionByName(altered)
 
 
-__all__ = ["append_snapshots", "point", "read_pointer", "verify_snapshots", "write_version"]
+__all__ = ["append_snapshots", "point", "read_pointer", "verify_snapshots", "write_manifest", "write_run_record", "write_version"]

@@ -70,6 +70,16 @@ def split_disposition(cell: Column) -> Column:
     return F.struct(F.array_join(F.filter(parts, lambda p: ~p.rlike(label)), "; ").alias("text"), F.coalesce(F.trim(F.regexp_replace(flag, label, "")), F.lit("")).alias("student_flag"))
 
 
+def legacy_header(html: Column) -> Column:
+    """The texts of the first row of the table's width; null on a dead page."""
+    return F.transform(F.try_element_at(F.filter(table_rows(html), lambda r: F.size(r) == len(LEGACY_HEADER)), F.lit(1)), plain_text)
+
+
+def wrong_header(html: Column) -> Column:
+    """Whether a page has a table of other columns than the known ones."""
+    return F.coalesce(legacy_header(html) != F.array(*[F.lit(h) for h in LEGACY_HEADER]), F.lit(False))
+
+
 def parse_legacy(pages: DataFrame, html: str = "html", month: str = "month") -> DataFrame:
     """Records of legacy pages: the verbatim fields, student_flag, source_month and source_era.
 
@@ -77,9 +87,8 @@ def parse_legacy(pages: DataFrame, html: str = "html", month: str = "month") ->
     without a case number are passed over.  Dead pages give no rows.
     """
     rows = F.filter(table_rows(F.col(html)), lambda r: F.size(r) == len(LEGACY_HEADER))
-    header = F.transform(F.try_element_at(rows, F.lit(1)), plain_text)
-    wrong = header != F.array(*[F.lit(h) for h in LEGACY_HEADER])
-    failed = F.raise_error(F.concat(F.lit("legacy header: "), F.array_join(header, "|"))).cast("array<array<string>>")
+    wrong = wrong_header(F.col(html))
+    failed = F.raise_error(F.concat(F.lit("legacy header: "), F.array_join(legacy_header(F.col(html)), "|"))).cast("array<array<string>>")
     # The header is part of the array that is exploded, so no filter can be moved before its check.
     body = F.when(wrong, failed).otherwise(F.slice(rows, F.lit(2), F.greatest(F.size(rows) - 1, F.lit(0))))
     checked = pages.select(F.col(month).alias("source_month"), F.posexplode(body).alias("place", "cells"))

@@ -7,6 +7,7 @@ version is named after it.  The absence ladder alone also comes as keyed state.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -14,9 +15,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from daybook.operators.legacy import order_captures
 from daybook.operators.merge import CONFIRMATIONS, merge
 from daybook.sinks.archive import write_version
 from daybook.sources.landed import read_archive, read_pointer
+from daybook.sources.pages import is_dead_page, parse_legacy, wrong_header
+from daybook.sources.sheet import key_records
 
 
 def apply_run(spark: SparkSession, root: str, observed: DataFrame, files: DataFrame, run: str, confirm_withdrawals: bool = True) -> bool:
@@ -45,6 +49,36 @@ def replay(spark: SparkSession, root: str, snapshots: DataFrame, files_of: Calla
     return applied
 
 
+def replay_captures(spark: SparkSession, root: str, captures: DataFrame) -> dict[str, int]:
+    """Merges captures of legacy pages in the order of time across months; returns how many came to what.
+
+    ``captures`` has month, stamp (yyyyMMddHHmmss) and html, null where the
+    fetch failed; a repeated capture counts once.  ``failed`` counts fetches
+    and headers that failed, ``dead`` pages without a table, ``empty`` tables
+    without a record and ``used`` those merged, now or before.  Each month is a
+    file of its own, and absences are flagged, not counted.
+    """
+    once = captures.groupBy("month", "stamp").agg(F.max("html").alias("html"))
+    html = F.col("html")
+    outcome = F.when(html.isNull(), "failed").when(is_dead_page(html), "dead").when(wrong_header(html), "failed").otherwise("used")
+    came = once.select("month", "stamp", outcome.alias("outcome"))
+    counts = {"used": 0, "dead": 0, "failed": 0, "empty": 0}
+    for c in order_captures(once).join(came, ["month", "stamp"]).orderBy("position").collect():
+        kind = c["outcome"]
+        if kind == "used":
+            one = once.filter((F.col("month") == c["month"]) & (F.col("stamp") == c["stamp"]))
+            placed = parse_legacy(one).withColumns({"source_file_id": F.concat(F.lit("wayback:"), "source_month"), "file_order": F.lit(0), "error": F.lit(None).cast("string")})
+            if placed.isEmpty():
+                kind = "empty"
+            else:
+                files = spark.createDataFrame([(f"wayback:{c['month']}", True, f"cleryapp {c['month']}", c["month"], False, False)], "source_file_id string, fetched boolean, name string, month string, removed boolean, repurposed boolean")
+                stamp = c["stamp"]
+                run = f"{stamp[:4]}-{stamp[4:6]}-{stamp[6:8]}.{stamp[8:]}.{re.sub(r'[^0-9A-Za-z]+', '_', c['month'])}"
+                apply_run(spark, root, key_records(placed), files, run, confirm_withdrawals=False)
+        counts[kind] += 1
+    return counts
+
+
 def stream_runs(snapshots: DataFrame, root: str, files_of: Callable[[DataFrame], DataFrame], checkpoint: str):
     """A query that merges the snapshots of each micro-batch in their own order; start it with ``.start()``."""
 

@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 from daybook.functions.identity import FIELDS
 from daybook.operators import ladders, legacy, merge
-from daybook.sinks.archive import append_snapshots, verify_snapshots
-from daybook.sources.landed import read_archive, read_changelog
+from daybook.sinks.archive import append_snapshots, verify_snapshots, write_manifest, write_run_record
+from daybook.sources import pages
+from daybook.sources.landed import read_archive, read_changelog, read_manifest, read_runs
 from daybook.sources.sheet import key_records
-from daybook.streaming.runs import apply_run, replay, stream_absences
+from daybook.streaming.runs import apply_run, replay, replay_captures, stream_absences
 
 FILES = "source_file_id string, fetched boolean, name string, month string, removed boolean, repurposed boolean"
 
@@ -138,6 +139,42 @@ def test_archive_on_disk(spark, tmp_path):
     assert read_archive(spark, root).count() == 25 and read_changelog(spark, root).groupBy("change_type").count().filter("change_type = 'missing'").first()[1] == 1
 
 
+def test_captures_replay_in_time_order_across_months(spark, tmp_path):
+    def page(*cases, names=tuple(pages.LEGACY_HEADER)):
+        lines = [f"<td>{c}</td><td>1/{c[-1]}/21 10:00</td><td>1/2/21</td><td>Theft</td><td><strong>Main</strong> hall</td><td>{d}</td>" for c, d in cases]
+        return "<table>" + "".join(f"<tr>{line}</tr>" for line in ["".join(f"<th>{n}</th>" for n in names), *lines]) + "</table>"
+
+    captures = [
+        ("January 2021", "20230501000000", page(("NUPD 21-10001", "Unfounded"), ("NUPD 21-10002", "Open"))),
+        ("January 2021", "20210301000000", page(("NUPD 21-10001", "Open"), ("NUPD 21-10002", "Open"))),
+        ("January 2021", "20210301000000", page(("NUPD 21-10001", "Open"), ("NUPD 21-10002", "Open"))),
+        ("April 2021", "20220101000000", page(("NUPD 21-40001", "Open"))),
+        ("April 2021", "20220102000000", None),
+        ("April 2021", "20220103000000", page(names=[*pages.LEGACY_HEADER[:5], "Kind"])),
+        ("April 2021", "20260101000000", "<p>gone</p>"),
+        ("April 2021", "20260102000000", page()),
+    ]
+    table = spark.createDataFrame(captures, "month string, stamp string, html string")
+    assert [(r.month, r.stamp[:4]) for r in legacy.order_captures(table.limit(4).distinct()).orderBy("position").collect()] == [("January 2021", "2021"), ("April 2021", "2022"), ("January 2021", "2023")]
+    root = str(tmp_path)
+    for _ in range(2):
+        assert replay_captures(spark, root, table) == {"used": 3, "dead": 1, "failed": 2, "empty": 1}
+        kept = read_archive(spark, root)
+        assert {r.case_number_raw: r.disposition_raw for r in kept.collect()} == {"NUPD 21-10001": "Unfounded", "NUPD 21-10002": "Open", "NUPD 21-40001": "Open"}
+        log = [(str(e.observed_date), e.change_type) for e in read_changelog(spark, root).collect()]
+        assert sorted(log) == [("2021-03-01", "added"), ("2021-03-01", "added"), ("2022-01-01", "added"), ("2023-05-01", "amended")]
+
+
+def test_run_records_and_manifest_are_written(spark, tmp_path):
+    for n in (3, 4):
+        write_run_record(spark, str(tmp_path / "runs"), {"archive_rows": n, "files": {"f": {"name": "é", "rows": n}}, "alarms": []}, "2026-09-01")
+        write_manifest(spark, str(tmp_path / "m" / "manifest.json"), {"archive_started": dt.date(2026, 9, 1), "files": {"f": {"name": "é", "snapshots": [{"date": "2026-09-01", "sha256": "x", "bytes": n}]}}})
+    write_run_record(spark, str(tmp_path / "runs"), {"archive_rows": 4}, "2026-09-02")
+    assert sorted((str(r.date), r.archive_rows) for r in read_runs(spark, str(tmp_path / "runs")).collect()) == [("2026-09-01", 4), ("2026-09-02", 4)]
+    found, snapshots = read_manifest(spark, str(tmp_path / "m"))
+    assert found.first().name == "é" and [s.bytes for s in snapshots.collect()] == [4]
+
+
 def test_ladder_as_stream(spark, tmp_path):
     source = str(tmp_path / "in")
     rows = [("a", "2026-09-01", True), ("a", "2026-09-02", False), ("a", "2026-09-03", False), ("a", "2026-09-04", False), ("b", "2026-09-01", False), ("b", "2026-09-02", True)]
