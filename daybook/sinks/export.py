@@ -39,8 +39,14 @@ def write_csv(df: DataFrame, path: str) -> None:
     first.unionByName(body).coalesce(1).write.mode("overwrite").text(path)
 
 
+def write_payload(folder: str, tables: dict[str, DataFrame]) -> None:
+    """The whole payload, of any size: a folder of JSON files a table, one row a line, nulls kept."""
+    for name, df in tables.items():
+        df.write.mode("overwrite").option("ignoreNullFields", "false").json(f"{folder}/{name}")
+
+
 def payload(tables: dict[str, DataFrame]) -> str:
-    """One JSON document with a list of rows a table; sizes are checked, keys sorted."""
+    """The part that goes into a page: one JSON document with a list of rows a table; sizes are checked, keys sorted."""
     whole = {name: [json.loads(r[0]) for r in bounded_rows(df.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"})), PAYLOAD_BOUND, name)] for name, df in tables.items()}
     return json.dumps(whole, ensure_ascii=False, sort_keys=True)
 

@@ -95,6 +95,17 @@ def test_runs_and_manifest(spark, tmp_path):
     assert files.first().name == "n" and snapshots.first().sha256 == "x"
 
 
+def test_a_payload_of_any_size(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(export, "PAYLOAD_BOUND", 100)
+    rows = spark.range(1_000).select("id", F.when(F.col("id") > 0, "é").alias("q"))
+    with pytest.raises(ValueError):
+        export.payload({"rows": rows})
+    export.write_payload(str(tmp_path), {"rows": rows, "none": rows.limit(0)})
+    lines = [json.loads(line) for p in (tmp_path / "rows").glob("part-*") for line in p.read_text(encoding="utf-8").splitlines()]
+    assert sorted(r["id"] for r in lines) == list(range(1_000)) and {"id": 0, "q": None} in lines and {"id": 7, "q": "é"} in lines
+    assert not any(p.read_text() for p in (tmp_path / "none").glob("part-*"))
+
+
 def test_exports(spark, tmp_path):
     rows = spark.createDataFrame([('a "b"', "c\td\r\ne"), (None, "x,y")], "p string, q string")
     assert [r[0] for r in export.tsv_lines(rows).collect()] == ['a "b"\tc d e', "\tx,y"]
