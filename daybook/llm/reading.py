@@ -13,6 +13,7 @@ frequent ``vocabulary`` of them).  Scoring needs no shuffle.
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 from collections import Counter
@@ -45,6 +46,11 @@ OTHER_WORDS = frozenset(
 _WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*")
 
 
+def word_key(word: str) -> str:
+    """What a word is counted and looked up by: itself, of a very long one a digest of the whole, so that models stay small."""
+    return word if len(word) <= 100 else hashlib.sha256(word.encode()).hexdigest()
+
+
 def words_of(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
@@ -55,7 +61,7 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             for w, k in Counter(words_of(text)).items():
                 band.append(b)
-                word.append(w[:100])
+                word.append(word_key(w))
                 n.append(k)
         yield pa.RecordBatch.from_arrays([pa.array(band, pa.int32()), pa.array(word, pa.string()), pa.array(n, pa.int64())], names=["band", "word", "n"])
 
@@ -101,7 +107,7 @@ def score(text: str | None, table: dict[str, list[float]], priors: list[float],
             function += k
         elif w in OTHER_WORDS:
             other += k
-        logs = table.get(w)
+        logs = table.get(word_key(w))
         if logs:
             known += k
             for b in range(len(total)):

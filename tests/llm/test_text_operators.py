@@ -140,6 +140,16 @@ def test_the_language_does_not_depend_on_the_number_of_labels(spark):
         assert got == {1: True, 2: False, 3: False}
 
 
+def test_very_long_words_count_as_a_whole(spark):
+    easy, hard = "a" * 150 + "b", "a" * 150 + "c"
+    docs = [(k, " ".join([hard if k % 2 else easy] * 9), "s", "", "") for k in range(8)]
+    labels = spark.createDataFrame([(k, "a", 5 if k % 2 else 1) for k in range(8)], "doc_id long, rater string, grade_band int")
+    docs = spark.createDataFrame(docs, DOCS)
+    models = reading.train_models(docs, labels)
+    assert len(models["table"]) == 2
+    assert {r.doc_id: r.band for r in reading.reading_levels(docs, models).collect()} == {k: 5 if k % 2 else 1 for k in range(8)}
+
+
 def test_language_and_odd_texts(spark):
     docs, labels, _ = labelled(spark)
     models = reading.train_models(docs, labels)
