@@ -1,24 +1,32 @@
 """Mapping free-entered values to a canonical list (problem 2).
 
-The words of a value are first brought to the words of the reference list
-(letter variants, misspellings, abbreviations, synonyms).  A multi-pattern
-automaton over the canonical names then finds the names embedded in the value;
-of overlapping ones the longest wins.  Values in which nothing is embedded, and
-the words around embedded names, go to token-set similarity; a value of which
-all stays below its threshold is reported as unmatched.
-
-The reference list and its index are small and checked to be so; values are
-matched a batch at a time in Arrow tasks without any shuffle, each different
-text once as long as a task remembers it.
+The words of a value are first brought to known words (letter variants,
+misspellings, abbreviations).  A multi-pattern automaton over the canonical
+names and their aliases then finds the names embedded in the value; the longest
+non-overlapping matches win and decide.  Aliases are a table of the caller's
+(alias, what it stands for); a name of the list with any of its words put in
+the alias's words is a pattern of its own, and so is each turned about ("theft,
+vehicle" for "vehicle theft").  Aliases act through the automaton only.
+
+Values in which nothing is embedded, and the words around embedded names, go to
+token-set similarity with the canonical names; a value of which all stays below
+its threshold is reported as unmatched.
+
+The reference list, the aliases and the index are small and checked to be so;
+values are matched a batch at a time in Arrow tasks without any shuffle, each
+different text once as long as a task remembers it.
 """
 
 from __future__ import annotations
 
+import csv
 import re
 import unicodedata
+from bisect import bisect_left
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from pathlib import Path
 
 import ahocorasick
 import pyarrow as pa
@@ -32,35 +40,15 @@ UNMATCHED = "(unmatched)"
 #: Least token-set similarity of a match, and weight of a word that carries little meaning.
 THRESHOLD = 0.65
 LIGHT = 0.35
-#: Weight of a word of an addition, and least likeness of a word left over to the entry's word left over.
-IDLE = 0.1
+#: Least likeness of a word left over to the entry's word left over, and to a word of a name before the automaton runs.
 LOOSE = 0.45
+CONTEXT = 0.55
+#: Most patterns of an automaton (names and aliases with their turns), and the table of aliases used where none is given.
+PATTERN_BOUND = 2_000_000
+ALIAS_FILE = Path(__file__).with_name("aliases.csv")
 
 # Words without much meaning of their own.
 LIGHT_WORDS = frozenset("a an and as at by for from in into is of off on or out the to up was with without".split())
-# Synonyms and customary abbreviations of words of the reference lists.
-SYNONYMS = {
-    "case": "inquiry", "individual": "person", "complt": "complainant", "issued": "given", "referred": "passed", "forwarded": "passed",
-    "sent": "sent passed", "pd": "police", "municipal": "town", "arranged": "provided", "magistrate": "judge", "car": "vehicle", "automobile": "vehicle", "auto": "vehicle",
-    "property": "property goods", "video": "footage", "offense": "offence", "settled": "paid", "stealing": "theft", "bike": "bicycle", "cycle": "bicycle",
-    "intoxicated": "drunk", "container": "bottle", "storage": "storeroom", "telephone": "phone", "odor": "smell", "odour": "smell", "elevator": "lift", "neighbor": "neighbour",
-    "bldg": "building", "veh": "vehicle", "ofc": "officer", "ftg": "footage", "recd": "recovered", "retd": "returned", "rtnd": "returned", "revd": "reviewed", "req": "requested",
-    "att": "attempted", "investigation": "inquiry", "suspect": "person", "dorm": "residence", "premise": "premises", "prof": "professor", "susp": "suspicious suspended",
-    "declined": "declined refused", "informed": "informed notified", "notified": "notified informed", "refused": "refused declined", "apt": "apartment", "sers": "serious", "srs": "serious", "cttn": "citation", "ctn": "caution", "rqstd": "requested", "rvwd": "reviewed", "exclsn": "exclusion", "rptd": "repeated reported",
-}
-# Phrases that stand for a word or two of the reference lists.
-PHRASES = {
-    "reporting party": "complainant", "ran out": "expired", "run out": "expired", "town pd": "town police", "storage room": "storeroom",
-    "mobile phone": "phone", "motor vehicle": "vehicle", "law enforcement": "police",
-}
-# Additions that change nothing of what a value means.
-NOISE = [
-    r"per (?:dispatch|supervisor|report|officer)", r"as of today", r"see (?:file|report|notes?)", r"(?:by )?ofc \d+", r"by ofc", r"at \d{1,2} \d{2}", r"x ?\d+",
-    r"today", r"asap", r"done", r"update", r"fyi", r"^(?:two|three|four|five|both|several|many|\d+)(?= [a-z])", r"(?<=[a-z] )\d+$",
-]
-# Words of such additions, which don't count where the entry lacks them.
-IDLE_WORDS = frozenset("poss possibly possible file see update per supervisor dispatch done today asap two three both several ofc report desk".split())
-_NOISE = re.compile("|".join(rf"(?:{p if p[0] in '^(' and p.startswith('^') else r'(?<![a-z0-9])' + p})(?![a-z0-9])" for p in NOISE))
 # Letters of other alphabets that look like Latin ones.
 LOOKALIKES = str.maketrans("авеіјкмнорсстухѕԁһαβεικνορτυχ", "abeijkmhopcctyxsdhabeiknoptux")
 _VOWELS = re.compile("[aeiou]")
@@ -111,73 +99,119 @@ def _deletions(word: str, most: int) -> set[str]:
     return out
 
 
+def read_aliases(path: str | Path = ALIAS_FILE) -> list[tuple[str, str]]:
+    """(alias, what it stands for) of a CSV table with the columns alias and means."""
+    with open(path, encoding="utf-8", newline="") as f:
+        return [(r["alias"], r["means"]) for r in csv.DictReader(f)]
+
+
+def _turns(words: tuple[str, ...]) -> Iterator[tuple[str, ...]]:
+    """The words turned about: some of the first ones put behind the others."""
+    return (words[k:] + words[:k] for k in range(1, len(words)))
+
+
 class Matcher:
-    """Finds the entries of one reference list in values."""
+    """Finds the entries of one reference list in values.
 
-    def __init__(self, entries: list[str], threshold: float = THRESHOLD, synonyms: dict[str, str] | None = None, phrases: dict[str, str] | None = None):
+    ``aliases`` are (alias, words it stands for) pairs; without them only the
+    names themselves are looked for.
+    """
+
+    def __init__(self, entries: list[str], threshold: float = THRESHOLD, aliases: Iterable[tuple[str, str]] = ()):
         self.threshold = threshold
         self.entries = list(dict.fromkeys(entries))
         self.words = [plain(e).split() for e in self.entries]
-        vocabulary = {w for words in self.words for w in words}
-        self.meanings: dict[str, tuple[str, ...]] = {w: (w,) for w in vocabulary}
-        for alias, names in (SYNONYMS if synonyms is None else synonyms).items():
-            known = tuple(n for n in names.split() if n in vocabulary)
-            if known:
-                self.meanings[alias] = tuple(dict.fromkeys(self.meanings.get(alias, ()) + known))
-        self.phrases = [(re.compile(rf"(?<![a-z0-9]){re.escape(a)}(?![a-z0-9])"), n) for a, n in (PHRASES if phrases is None else phrases).items() if any(w in vocabulary for w in n.split())]
+        self.having: dict[str, list[int]] = defaultdict(list)
+        for k, words in enumerate(self.words):
+            for w in set(words):
+                self.having[w].append(k)
+        by_first: dict[str, list[tuple[tuple[str, ...], tuple[str, ...]]]] = defaultdict(list)
+        for alias, means in aliases:
+            said, meant = tuple(plain(alias).split()), tuple(plain(means).split())
+            if said and meant:
+                by_first[meant[0]].append((meant, said))
+        # Of equal patterns a name goes before an alias and an alias before a turn.
+        patterns: dict[str, tuple[int, list[int]]] = {}
+        self.said: dict[str, set[int]] = defaultdict(set)
+        self.ways: list[set[str]] = [set() for _ in self.words]
+        for k, words in enumerate(self.words):
+            for variant in self._variants(tuple(words), by_first):
+                self.ways[k].update(variant)
+                for w in variant:
+                    self.said[w].add(k)
+                self._pattern(patterns, variant, k, 0 if list(variant) == words else 1)
+                for turned in _turns(variant):
+                    self._pattern(patterns, turned, k, 2)
+            if len(patterns) > PATTERN_BOUND:
+                raise ValueError(f"names and aliases make more than {PATTERN_BOUND} patterns")
+        self.known = sorted(self.said)
+        self.is_known = frozenset(self.said)
         self.by_skeleton: dict[str, set[str]] = defaultdict(set)
         self.by_deletion: dict[str, set[str]] = defaultdict(set)
-        for w in self.meanings:
+        for w in self.known:
             if len(w) > 3:
                 self.by_skeleton[skeleton(w)].add(w)
                 for d in _deletions(w, allowed_edits(len(w) + 1)):
                     self.by_deletion[d].add(w)
-        self.having: dict[str, list[int]] = defaultdict(list)
         self.automaton = ahocorasick.Automaton()
-        self.of_words: dict[str, list[int]] = defaultdict(list)
-        for k, words in enumerate(self.words):
-            for w in set(words):
-                self.having[w].append(k)
-            if words:
-                self.of_words[" ".join(words)].append(k)
-        for text, ks in self.of_words.items():
+        for text, (_, ks) in patterns.items():
             self.automaton.add_word(f" {text} ", (len(text) + 1, ks))
         if len(self.automaton):
             self.automaton.make_automaton()
         self.resolve = lru_cache(200_000)(self._resolve)
-        self.idle = lru_cache(50_000)(_idle)
-        # A value with more different words than this is below the threshold whatever they are: each word that isn't met costs at least IDLE.
-        largest = max((sum(map(_weight, set(words))) for words in self.words), default=0.0)
-        self.most_words = int((2 / threshold - 1) * largest / IDLE) + max((len(set(words)) for words in self.words), default=0) + 1
+
+    @staticmethod
+    def _variants(words: tuple[str, ...], by_first: dict) -> Iterator[tuple[str, ...]]:
+        """The words with any of them put in words of an alias that stands for them."""
+        if not words:
+            return
+        heads = [(words[:1], 1)] + [(said, len(meant)) for meant, said in by_first.get(words[0], ()) if words[: len(meant)] == meant]
+        for head, n in heads:
+            if n == len(words):
+                yield head
+            else:
+                for tail in Matcher._variants(words[n:], by_first):
+                    yield head + tail
+
+    @staticmethod
+    def _pattern(patterns: dict, words: tuple[str, ...], k: int, rank: int) -> None:
+        text = " ".join(words)
+        held = patterns.get(text)
+        if held is None or rank < held[0]:
+            patterns[text] = (rank, [k])
+        elif rank == held[0] and k not in held[1]:
+            held[1].append(k)
 
     def _resolve(self, token: str) -> tuple[tuple[str, float], ...]:
-        """Words of the reference list that ``token`` may stand for, with how sure that is, surest first."""
-        if token in self.meanings:
-            return tuple((m, 1.0) for m in self.meanings[token])
+        """Known words that ``token`` may be, with how sure that is, surest first."""
+        if token in self.is_known:
+            return ((token, 1.0),)
         if token.isdigit():
             return ()
         if re.search("[01]", token):
             token = token.replace("0", "o").replace("1", "i")
-            if token in self.meanings:
-                return tuple((m, 1.0) for m in self.meanings[token])
+            if token in self.is_known:
+                return ((token, 1.0),)
         if token in LIGHT_WORDS:
             return ()
         found: dict[str, float] = {}
 
         def note(word: str, sure: float) -> None:
-            for m in self.meanings[word]:
-                found[m] = max(found.get(m, 0.0), sure)
+            found[word] = max(found.get(word, 0.0), sure)
 
         for singular in (token[:-1] if token.endswith("s") else "", token[:-3] + "y" if token.endswith("ies") else ""):
-            if singular in self.meanings:
+            if singular in self.is_known:
                 note(singular, 1.0)
         if not found and len(token) > 2:
-            if token == skeleton(token):
-                for w in self.by_skeleton.get(token, ()):
-                    note(w, 0.95)
-            for w in self.meanings:
-                if len(w) >= len(token) + 2 and w.startswith(token):
-                    note(w, 0.95)
+            for bare in (token, token[:-1] if token.endswith("s") else ""):
+                if bare and bare == skeleton(bare):
+                    for w in self.by_skeleton.get(bare, ()):
+                        note(w, 0.95)
+            at = bisect_left(self.known, token)
+            while at < len(self.known) and self.known[at].startswith(token):
+                if len(self.known[at]) >= len(token) + 2:
+                    note(self.known[at], 0.93)
+                at += 1
         if not found:
             most = allowed_edits(len(token))
             near = set().union(*(self.by_deletion.get(d, ()) for d in _deletions(token, most))) if most else set()
@@ -185,7 +219,7 @@ class Matcher:
                 d = distance(token, w, min(most, allowed_edits(len(w) + 1)))
                 if d <= most:
                     note(w, 1 - 0.8 * d / max(len(token), len(w)))
-            if len(token) > 4 and token == skeleton(token) and not found:
+            if len(token) > 3 and token == skeleton(token) and not found:
                 for s, ws in self.by_skeleton.items():
                     if abs(len(s) - len(token)) < 2 and len(s) > 4 and distance(token, s, 1) == 1:
                         for w in ws:
@@ -193,14 +227,9 @@ class Matcher:
         return tuple(sorted(found.items(), key=lambda x: (-x[1], x[0])))
 
     def _tokens(self, value: str) -> list[tuple[str, tuple]]:
-        """(token, what it may stand for); tokens that run together are taken apart."""
-        text = plain(value)
-        bare = " ".join(_NOISE.sub(" ", text).split())
-        text = bare or text
-        for pattern, name in self.phrases:
-            text = pattern.sub(name, text)
+        """(token, what it may be); tokens that run together are taken apart."""
         out = []
-        for token in text.split():
+        for token in plain(value).split():
             means = self.resolve(token)
             if (not means or means[0][1] < 0.9) and len(token) > 4 and token not in LIGHT_WORDS:
                 parts = self._apart(token)
@@ -211,12 +240,18 @@ class Matcher:
         return out
 
     def _apart(self, token: str) -> list[tuple[str, tuple]]:
+        """Two words that ``token`` was run together from; one of them has to be known as written or both by their consonants."""
         best: tuple[float, list] = (0.0, [])
         for k in range(2, len(token) - 1):
-            pair = [(t, self.resolve(t)) for t in (token[:k], token[k:])]
-            sure = [p[1][0][1] if p[1] else 1.0 if p[0] in LIGHT_WORDS else 0.0 for p in pair]
-            exact = any(p[0] in self.meanings or p[0] in LIGHT_WORDS for p in pair) and max(k, len(token) - k) > 2
-            if exact and min(sure) > best[0]:
+            parts = (token[:k], token[k:])
+            written = [t in self.is_known or t in LIGHT_WORDS for t in parts]
+            anchor = all(written) or any(w and len(t) > (3 if t in LIGHT_WORDS else 2) for w, t in zip(written, parts, strict=True))
+            if not anchor and not all(w or len(t) > 2 and t == skeleton(t) for w, t in zip(written, parts, strict=True)):
+                continue
+            pair = [(t, self.resolve(t)) for t in parts]
+            sure = [means[0][1] if means else 1.0 if t in LIGHT_WORDS else 0.0 for t, means in pair]
+            bones = max(map(len, parts)) > 3 and all(w or x >= 0.95 for w, x in zip(written, sure, strict=True))
+            if min(sure) > best[0] and (anchor or bones):
                 best = (min(sure), pair)
         return best[1]
 
@@ -225,52 +260,71 @@ class Matcher:
         tokens = self._tokens(value)
         if not tokens:
             return []
-        if len(self.automaton):
-            line = " " + " ".join(means[0][0] if means else token for token, means in tokens) + " "
-            hits = sorted(((end - length, length, ks) for end, (length, ks) in self.automaton.iter(line)), key=lambda h: (-h[1], h[0]))
-            taken: list[tuple[int, int, list[int]]] = []
-            for start, length, ks in hits:
-                if all(start + length <= a or start >= a + n for a, n, _ in taken):
-                    taken.append((start, length, ks))
-            covered = sum(len(line[a : a + n].split()) for a, n, _ in taken)
-            # A name of one word inside a long other text is a coincidence unless most of the text is covered.
-            if covered < 0.5 * len(tokens):
-                taken = [t for t in taken if len(line[t[0] : t[0] + t[1]].split()) > 1]
-            if taken:
-                return self._with_rest(tokens, line, taken)
+        taken = self._embedded(tokens)
+        if taken:
+            return self._with_rest(tokens, taken)
         best = self._most_similar(tokens)
         return [self.entries[best[0]]] if best and best[1] >= self.threshold else []
 
-    def _with_rest(self, tokens: list[tuple[str, tuple]], line: str, taken: list[tuple[int, int, list[int]]]) -> list[str]:
-        """The entries embedded at ``taken`` and those that the words before, between and behind them mean.
-
-        A single embedded entry gives way to one with a word of it that the
-        whole value is more similar to.  Words left over mean an entry only
-        with two of its words (or all), as one word is a coincidence.
+    def _likely_words(self, tokens: list[tuple[str, tuple]]) -> list[str]:
+        """The word each token most likely is: of several, and of words that are no near misspelling, one of a name with another word of the value."""
+        sure: dict[int, int] = defaultdict(int)
+        entries_of = [{k for m, _ in means if m not in LIGHT_WORDS for k in self.said[m]} for _, means in tokens]
+        for ks in entries_of:
+            for k in ks:
+                sure[k] += 1
+        words = []
+        for (token, means), own in zip(tokens, entries_of, strict=True):
+            if len(means) > 1:
+                token = max(means, key=lambda m: (m[1] + (0.1 if any(sure[k] > 1 for k in self.said[m[0]] & own) else 0.0), m[1]))[0]
+            elif means:
+                token = means[0][0]
+            elif len(token) > 3 and not token.isdigit() and sure:
+                near = max(((self._likeness(token, w), w) for w in sorted(set().union(*(self.ways[k] for k in sure))) if len(w) > 3), default=(0.0, ""))
+                token = near[1] if near[0] >= CONTEXT else token
+            words.append(token)
+        return words
+
+    def _embedded(self, tokens: list[tuple[str, tuple]]) -> list[tuple[int, int, list[int]]]:
+        """(first token, tokens, entries) of the names and aliases in a value: the longest ones that don't overlap, in order."""
+        if not len(self.automaton):
+            return []
+        words = self._likely_words(tokens)
+        line, starts = " " + " ".join(words) + " ", {}
+        at = 0
+        for n, w in enumerate(words):
+            starts[at] = n
+            at += len(w) + 1
+        hits = sorted(((end - length, length, ks) for end, (length, ks) in self.automaton.iter(line)), key=lambda h: (-h[1], h[0]))
+        taken: list[tuple[int, int, list[int]]] = []
+        free = bytearray(b"\x01") * len(words)
+        for start, length, ks in hits:
+            first, n = starts[start], line.count(" ", start + 1, start + length) + 1
+            if all(free[first : first + n]):
+                free[first : first + n] = bytes(n)
+                taken.append((first, n, ks))
+        return sorted(taken)
+
+    def _with_rest(self, tokens: list[tuple[str, tuple]], taken: list[tuple[int, int, list[int]]]) -> list[str]:
+        """The embedded entries and those that the words before, between and behind them mean.
+
+        Words left over mean an entry only with two of its words (or all), as
+        one word is a coincidence.
         """
-        best = self._most_similar(tokens)
-        if len(taken) == 1 and best and best[1] >= self.threshold:
-            hit = taken[0][2]
-            if best[0] not in hit and set(self.words[best[0]]) & set(self.words[hit[0]]) and best[1] > self._similarity(tokens, hit[0]):
-                return [self.entries[best[0]]]
         found: list[int] = []
-        at = seen = 0
-        for start, length, ks in [*sorted(taken), (len(line) - 1, 0, [])]:
-            first = at + line[seen:start].count(" ")
+        at = 0
+        for first, n, ks in [*taken, (len(tokens), 0, [])]:
             rest = self._most_similar(tokens[at:first])
             if rest and rest[1] >= self.threshold:
                 words = set(self.words[rest[0]])
                 if len({m for _, means in tokens[at:first] for m, _ in means} & words) >= min(2, len(words)):
                     found.append(rest[0])
             found += ks
-            seen = start + length
-            at = first + line[start:seen].count(" ")
+            at = first + n
         return [self.entries[k] for k in dict.fromkeys(found)]
 
     def _most_similar(self, tokens: list[tuple[str, tuple]]) -> tuple[int, float] | None:
         tokens = list(dict.fromkeys(tokens))
-        if len(tokens) > self.most_words:
-            return None
         candidates = {k for _, means in tokens for m, _ in means for k in self.having.get(m, ()) if m not in LIGHT_WORDS}
         scored = [(self._similarity(tokens, k), -len(self.words[k]), -k) for k in candidates]
         if not scored:
@@ -308,7 +362,7 @@ class Matcher:
                 hit += _weight(near[1]) * near[0]
                 total += _weight(near[1])
             else:
-                total += IDLE if self.idle(token) else _weight(token)
+                total += _weight(token)
         return 2 * hit / (total + whole)
 
     @staticmethod
@@ -318,33 +372,29 @@ class Matcher:
 
 
 def _weight(word: str) -> float:
-    return LIGHT if word in LIGHT_WORDS else IDLE if word in IDLE_WORDS else 0.5 if len(word) < 3 or word.isdigit() else 1.0
-
-
-def _idle(token: str) -> bool:
-    """Whether a word is one of an addition, misspellings among them."""
-    if len(token) < 5:
-        return token in IDLE_WORDS
-    return any(w == token or len(w) > 4 and (skeleton(w) == token or distance(token, w, 2) <= min(2, len(w) // 3)) for w in IDLE_WORDS)
+    return LIGHT if word in LIGHT_WORDS else 0.5 if len(word) < 3 or word.isdigit() else 1.0
 
 
 _ROWS = pa.schema([("record", pa.int64()), ("field_name", pa.string()), ("value", pa.string()), ("raw_token", pa.string())])
 
 
-def map_values(records: DataFrame, grammars: dict[str, Grammar], lists: dict[str, DataFrame], record_id: str = "row_id", threshold: float = THRESHOLD) -> DataFrame:
+def map_values(records: DataFrame, grammars: dict[str, Grammar], lists: dict[str, DataFrame], record_id: str = "row_id", threshold: float = THRESHOLD, aliases: Iterable[tuple[str, str]] | None = None) -> DataFrame:
     """record, field_name, value and raw_token: a row for each entry meant by each value of the fields.
 
-    ``lists`` gives the reference list of each field (its first column).
+    ``lists`` gives the reference list of each field (its first column);
+    ``aliases`` are (alias, words it stands for) pairs, those of
+    :data:`ALIAS_FILE` where not given.
     Values that mean no entry have the raw_token ``(unmatched)``.  Null, empty
     and blank fields hold no value and give no row; repeated values and rows
     are each mapped; an empty reference list leaves every value unmatched.
     """
+    aliases = read_aliases() if aliases is None else list(aliases)
     entries = {f: [r[0] for r in bounded_rows(d, DICTIONARY_BOUND, f"the reference list of {f}") if r[0] is not None] for f, d in lists.items()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tools = {}
         for field, grammar in grammars.items():
-            automaton, matcher = build_automaton(entries.get(field, [])), Matcher(entries.get(field, []), threshold)
+            automaton, matcher = build_automaton(entries.get(field, [])), Matcher(entries.get(field, []), threshold, aliases)
             tools[field] = (remembered(lambda t, g=grammar, a=automaton: split_packed(t, g, a)), remembered(matcher.match, 4 * CACHE_BOUND))
         for batch in batches:
             ids = batch.column(0).to_pylist()

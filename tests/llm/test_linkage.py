@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import random
+from pathlib import Path
 
 import pytest
 
 from daybook.llm import canonical, groups
 from daybook.operators.packed import PROSE
 
+FOLDER = "/root/testdata/sf0.001"
 ENTRIES = ["inquiry closed", "inquiry open/pending", "person detained", "vehicle towed", "goods recovered", "goods returned to owner", "passed to town police", "summons served in person", "summons served by mail", "disposition revised", "disposition revised- closed", "theft from vehicle", "vehicle theft", "attempted vehicle theft", "blackmail", "complainant could not be reached", "camera footage reviewed"]
-MATCHER = canonical.Matcher(ENTRIES)
+ALIASES = canonical.read_aliases()
+MATCHER = canonical.Matcher(ENTRIES, aliases=ALIASES)
 
 
 @pytest.mark.parametrize(
@@ -51,7 +54,49 @@ def test_the_longest_embedded_name_wins():
     assert sorted(MATCHER.match("person detained and vehicle towed")) == ["person detained", "vehicle towed"]
 
 
+ALL_BUT_THE_AUTOMATON = canonical.Matcher(ENTRIES, aliases=ALIASES)
+ALL_BUT_THE_AUTOMATON.automaton = canonical.ahocorasick.Automaton()
+
+
+@pytest.mark.parametrize(
+    ("value", "entries", "without"),
+    [
+        ("Case closed", ["inquiry closed"], []),
+        ("Referred To Town PD", ["passed to town police"], []),
+        ("automobile stealing", ["vehicle theft"], []),
+        ("person detained and vehicle towed", ["person detained", "vehicle towed"], []),
+        ("in the evening the complainant rang again, inquiry closed", ["inquiry closed"], []),
+    ],
+)
+def test_the_automaton_decides(value, entries, without):
+    assert MATCHER.match(value) == entries
+    assert ALL_BUT_THE_AUTOMATON.match(value) == without
+
+
+def test_aliases_are_a_parameter():
+    assert canonical.Matcher(["vehicle towed"]).match("charabanc towed") == []
+    assert canonical.Matcher(["vehicle towed"], aliases=[("charabanc", "vehicle"), ("", "towed"), ("x", "")]).match("charabanc towed") == ["vehicle towed"]
+    with pytest.raises(ValueError, match="patterns"):
+        canonical.PATTERN_BOUND, held = 3, canonical.PATTERN_BOUND
+        try:
+            canonical.Matcher(["a b c d e f"])
+        finally:
+            canonical.PATTERN_BOUND = held
+
+
+@pytest.mark.skipif(not Path(FOLDER).is_dir(), reason="no test tables here")
+def test_without_the_automaton_rows_of_the_tables_change(spark):
+    texts = [r[0] for r in spark.read.parquet(f"{FOLDER}/incidents.parquet").select("disposition_raw").distinct().collect() if r[0]]
+    entries = [r[0] for r in spark.read.parquet(f"{FOLDER}/disposition_map.parquet").collect()]
+    whole, bare = canonical.Matcher(entries, aliases=ALIASES), canonical.Matcher(entries, aliases=ALIASES)
+    bare.automaton = canonical.ahocorasick.Automaton()
+    values = {v for t in texts for v in canonical.split_packed(t, PROSE)}
+    changed = [v for v in values if whole.match(v) != bare.match(v)]
+    assert len(changed) > 0.01 * len(values)
+
+
 def test_a_very_long_value_and_an_empty_list():
+    assert MATCHER.match(" ".join(f"unheard{k}" for k in range(20_000)) + " case closed") == ["inquiry closed"]
     assert MATCHER.match("nothing known here " * 20_000) == []
     assert canonical.Matcher([]).match("inquiry closed") == []
 
@@ -77,7 +122,7 @@ def test_rows(spark):
         ("vehicle towed after the long night patrol along the north lot gate; inquiry closed", ["vehicle towed", "inquiry closed"]),
         ("vehicle towed in the night, camra footge was reviewd", ["vehicle towed", "camera footage reviewed"]),
         ("complainant could by phone not be reached, vehicle towed", ["complainant could not be reached", "vehicle towed"]),
-        ("blackmail letters hung along the long corridor by the north lot gate", []),
+        ("blackmail letters hung along the long corridor by the north lot gate", ["blackmail"]),
     ],
 )
 def test_entries_inside_long_values(value, entries):
