@@ -47,48 +47,44 @@ def attribute_history(changelog: DataFrame, field: str = "disposition_raw") -> D
     Returns incident_uid, valid_from, valid_to (yyyy-MM-dd, empty for the last
     version) and the value under the name ``field``.  The first version holds
     from the day of the record's first ``added`` event and has the old value of
-    its first amendment; of several amendments of a day the last holds; equal
+    its first amendment that counts; of several amendments of a day the last holds; equal
     values (nulls are equal) open no version.  Amendments of a record that is
-    not in force count as little as in :func:`current_state`.  A record that
-    was amended on the very day it came in has a first version that ends on the
-    day it began.  An empty feed gives an empty result.
+    not in force count as little as in :func:`current_state`.  A version that
+    holds for no day (the first one of a record amended on the day it came in)
+    is none.  An empty feed gives an empty result.
     """
     events = settled_events(changelog, "field_name", "old_value", "new_value")
     amended = (F.col("kind") == "amended") & (F.lower(F.btrim(F.col("field_name"))) == field)
     events = events.filter(F.col("kind").isin("added", "source_removed") | amended)
 
-    # One row a record and day: what a single day does is settled before anything is ordered over days.
-    log = F.sort_array(F.collect_list(F.struct("run", "kind", F.col("old_value").alias("old"), F.col("new_value").alias("new"))))
-    days = events.groupBy("uid", "day").agg(log.alias("log"))
-    marks = F.filter("log", lambda e: e["kind"] != "amended")
+    # One row a record and day: what a single day does is settled before anything is ordered over days, so a record
+    # with a large part of all events is spread over its days, and no day's events are gathered in one value.
+    is_amended = F.col("kind") == "amended"
+    within = Window.partitionBy("uid", "day").orderBy(F.col("run").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    events = events.withColumn("mark", F.last(F.when(~is_amended, F.col("kind")), ignorenulls=True).over(within))
+    at = lambda when, name, of: F.when(when, F.struct("run", F.col(name).alias("value"))).alias(of)
+    fresh = is_amended & (F.col("mark") == "added")
+    open_ = is_amended & (F.col("mark").isNull() | (F.col("mark") == "added"))
+    sides = events.select("uid", "day", at(~is_amended, "kind", "m"), at(fresh, "old_value", "fresh_old"), at(fresh, "new_value", "fresh_new"), at(open_, "old_value", "open_old"), at(open_, "new_value", "open_new"))
+    days = sides.groupBy("uid", "day").agg(
+        F.max("m").alias("m"), F.max(F.col("m.value") == "added").alias("enters"),
+        F.min("fresh_old").alias("fresh_old"), F.max("fresh_new").alias("fresh_new"), F.min("open_old").alias("open_old"), F.max("open_new").alias("open_new"),
+    )
     by_day = Window.partitionBy("uid").orderBy("day")
-    whole = Window.partitionBy("uid")
-    days = days.withColumn("mark", F.try_element_at(marks, F.lit(-1))["kind"])
-    days = days.withColumn("alive", F.coalesce(F.last("mark", ignorenulls=True).over(by_day.rowsBetween(Window.unboundedPreceding, -1)) == "added", F.lit(False)))
-    entered = F.when(F.exists("log", lambda e: e["kind"] == "added"), F.col("day"))
-    days = days.withColumn("entered", F.min(entered).over(whole))
-
-    state = "struct<alive:boolean,any:boolean,first:string,last:string>"
-    start = F.struct(F.col("alive"), F.lit(False), F.lit(None).cast("string"), F.lit(None).cast("string")).cast(state)
-
-    def step(s: Column, e: Column) -> Column:
-        counts = (e["kind"] == "amended") & s["alive"]
-        return F.struct(
-            F.when(e["kind"] == "amended", s["alive"]).otherwise(e["kind"] == "added"),
-            s["any"] | counts,
-            F.when(counts & ~s["any"], e["old"]).otherwise(s["first"]),
-            F.when(counts, e["new"]).otherwise(s["last"]),
-        ).cast(state)
-
-    days = days.withColumn("done", F.aggregate("log", start, step)).filter("done.any")
+    alive = F.coalesce(F.last("m.value", ignorenulls=True).over(by_day.rowsBetween(Window.unboundedPreceding, -1)) == "added", F.lit(False))
+    days = days.withColumns({"alive": alive, "entered": F.min(F.when(F.col("enters"), F.col("day"))).over(Window.partitionBy("uid"))})
+    first, last = (F.when(F.col("alive"), F.col(f"open_{x}")).otherwise(F.col(f"fresh_{x}")) for x in ("old", "new"))
+    days = days.select("uid", "day", "entered", first.alias("first"), last.alias("last")).filter("last IS NOT NULL")
     days = days.withColumn("nth", F.row_number().over(by_day))
-    unit = F.struct(F.col("nth").alias("place"), F.col("day").alias("since"), F.col("done.last").alias("value"))
-    first = F.struct(F.lit(0).alias("place"), F.col("entered").alias("since"), F.col("done.first").alias("value"))
-    units = days.select("uid", F.inline(F.when(F.col("nth") == 1, F.array(first, unit)).otherwise(F.array(unit))))
+    unit = F.struct(F.col("nth").alias("place"), F.col("day").alias("since"), F.col("last.value").alias("value"))
+    opening = F.struct(F.lit(0).alias("place"), F.col("entered").alias("since"), F.col("first.value").alias("value"))
+    units = days.select("uid", F.inline(F.when(F.col("nth") == 1, F.array(opening, unit)).otherwise(F.array(unit))))
 
     span = changelog.agg(F.min("observed_date"), F.max("observed_date")).first()
     most = 2 if span[0] is None else (span[1] - span[0]).days + 2
-    runs = coalesce_runs(units, most).filter(F.size("runs") > 1)
+    runs = coalesce_runs(units, most)
+    held = F.filter("runs", lambda r, i: ~r["since"].eqNullSafe(F.try_element_at(F.col("runs"), i + 2)["since"]))
+    runs = runs.select("uid", held.alias("runs")).filter(F.size("runs") > 1)
     until = F.transform("runs", lambda r, i: F.struct(r["since"].alias("since"), r["value"].alias("value"), F.try_element_at(F.col("runs"), i + 2)["since"].alias("until")))
     day_text = lambda c: F.date_format(c, "yyyy-MM-dd")
     return runs.select("uid", F.inline(until)).select(

@@ -64,7 +64,8 @@ start AS (SELECT a.uid, (SELECT min(observed_date) FROM ev WHERE ev.uid = a.uid
     FROM (SELECT uid, arg_min(old_value, (d, run_seq)) AS old_value FROM am GROUP BY uid) a),
 units AS (SELECT uid, d, v, 0 AS k FROM start UNION ALL SELECT uid, d, v, 1 FROM day),
 opens AS (SELECT * FROM (SELECT *, k = 0 OR v IS DISTINCT FROM lag(v) OVER (PARTITION BY uid ORDER BY k, d) AS o FROM units) WHERE o),
-spans AS (SELECT uid, d, v, lead(d) OVER (PARTITION BY uid ORDER BY k, d) AS until, count(*) OVER (PARTITION BY uid) AS n FROM opens)
+held AS (SELECT * FROM (SELECT uid, k, d, v, lead(d) OVER (PARTITION BY uid ORDER BY k, d) AS until FROM opens) WHERE until IS NULL OR until > d),
+spans AS (SELECT *, count(*) OVER (PARTITION BY uid) AS n FROM held)
 SELECT uid AS incident_uid, strftime(d, '%Y-%m-%d') AS valid_from, coalesce(strftime(until, '%Y-%m-%d'), '') AS valid_to, v AS disposition_raw
 FROM spans WHERE n > 1
 """

@@ -63,6 +63,7 @@ def history_by_steps(rows):
         for day, value in sorted(v["days"].items()):
             if value != spans[-1][1]:
                 spans.append((day, value))
+        spans = [s for s, after in zip(spans, [*spans[1:], (None, None)], strict=True) if s[0] != after[0]]
         if len(spans) > 1:
             for (a, value), b in zip(spans, [*[s[0] for s in spans[1:]], None], strict=True):
                 out.append((uid, str(a), str(b or ""), value))
@@ -87,6 +88,15 @@ def test_state_and_history_by_steps(spark, seed):
     assert sorted(map(tuple, attribute_history(log).collect()), key=str) == history_by_steps(rows)
 
 
+def test_a_version_that_holds_for_no_day_is_none(spark):
+    def amend(day, run, old, new, uid="a"):
+        return event(day * 10 + run, day, run, uid, "amended", "disposition_raw", old, new, 2)
+
+    rows = [event(0, 0, 1, "a", "added"), amend(0, 2, "open", "closed"), amend(3, 1, "closed", "open"), event(0, 0, 1, "b", "added"), amend(0, 2, "open", "closed", "b")]
+    got = sorted(map(tuple, attribute_history(spark.createDataFrame(rows, LOG)).collect()))
+    assert got == [("a", "2026-08-01", "2026-08-04", "closed"), ("a", "2026-08-04", "", "open")]
+
+
 def test_no_log_and_nameless_events(spark):
     assert current_state(spark.createDataFrame([], LOG)).collect() == []
     assert attribute_history(spark.createDataFrame([], LOG)).collect() == []
