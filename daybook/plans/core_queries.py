@@ -15,9 +15,9 @@ from daybook.session import table
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The UTC instant of every full point in time, read by the stated conventions."""
+    """The UTC instant of every full point in time, as chosen over the order of each source; values without a conventional reading are no case."""
     found = resolve_timestamps(table(spark, sf_dir, "incidents"), table(spark, sf_dir, "source_files"))
-    return found.filter("departures = 0").selectExpr("record AS row_id", "field AS field_name", "utc_micros")
+    return found.filter("least_departures = 0").selectExpr("record AS row_id", "field AS field_name", "utc_micros")
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,6 +6,7 @@ import datetime as dt
 import itertools
 import random
 
+import pyarrow as pa
 import pytest
 
 from daybook.operators import timestamps as ts
@@ -92,6 +93,15 @@ def test_without_conventions_the_order_of_records_decides(spark):
     assert [bound[k].departures for k in range(5)] == [1, 0, 1, 0, 1]
 
 
+def test_the_order_of_records_outweighs_a_convention_that_stands_alone(spark):
+    # Month first, the second value would go forward in time only to have the third go back.
+    values = ["13/4/25 10:00", "6/5/25 10:00", "20/5/25 10:00"]
+    assert [r.departures for _, r in sorted(resolve(spark, values).items())] == [1, 1, 1]
+    conventional = resolve(spark, values, convention_cost=5.0)
+    assert [r.departures for _, r in sorted(conventional.items())] == [1, 0, 1]
+    assert {k: r.least_departures for k, r in conventional.items()} == {0: 1, 1: 0, 2: 1}
+
+
 def test_empty_tables(spark):
     out = ts.resolve_timestamps(spark.createDataFrame([], RECORDS), spark.createDataFrame([], ZONES))
     assert out.collect() == []
@@ -108,9 +118,41 @@ def test_stretches_put_together_cost_as_little_as_one_pass(seed):
     records = [[(float(rng.randint(0, 2)), rng.randint(1, 3), rng.randint(0, 9)) for _ in range(rng.choice([1, 2, 3]))] for _ in range(7)]
     best = min(cost(chain) for chain in itertools.product(*records))
     chain = ts._Chain(1.0, 1.0)
-    for k, readings in enumerate(records):
-        chain.add(k, readings)
-    assert cost([r for _, r in chain.settle()]) == pytest.approx(best)
+    for readings in records:
+        chain.add(readings)
+    assert cost([readings[k] for readings, k in zip(records, chain.choices(), strict=True)]) == pytest.approx(best)
+
+
+SCHEMA = pa.schema([("source", pa.string()), ("field", pa.string()), ("part", pa.int32()), ("record", pa.int64()), ("departures", pa.list_(pa.int32())), ("format", pa.list_(pa.int32())), ("micros", pa.list_(pa.int64()))])
+
+
+def batches(rows, part, size):
+    rows = [(s, "f", part, k, *([r[i] for r in readings] for i in range(3))) for s, k, readings in rows]
+    return [pa.RecordBatch.from_pylist([dict(zip(SCHEMA.names, r, strict=True)) for r in rows[a : a + size]], schema=SCHEMA) for a in range(0, len(rows), size)]
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_tasks_and_batches_put_together_cost_as_little_as_one_pass(seed):
+    rng = random.Random(seed)
+    lone = rng.choice([0.0, 0.2, 0.6])
+    records = []
+    for k in range(rng.randint(1, 12)):
+        n = 0 if rng.random() < 0.1 else 1 if rng.random() < lone else rng.choice([2, 3])
+        records.append((f"s{k * rng.randint(1, 3) // 12}" if seed % 3 else "s", k, [(rng.randint(0, 2), rng.randint(1, 3), rng.randint(0, 9)) for _ in range(n)]))
+    records.sort(key=lambda r: r[:2])
+    cuts = sorted(rng.sample(range(len(records) + 1), min(2, len(records))))
+    parts = [records[a:b] for a, b in zip([0, *cuts], [*cuts, len(records)], strict=True)]
+    costs = (1.0, 1.0, 1.5)
+    borders = [r for n, p in enumerate(parts) for out in ts._border_costs(*costs)(iter(batches(p, n, 3))) for r in out.to_pylist()]
+    choices = ts._border_choices(borders, *costs[:2])
+    got = [r for n, p in enumerate(parts) for out in ts._choices(choices, *costs)(iter(batches(p, n, 3))) for r in out.to_pylist()]
+    assert [r["record"] for r in got] == [k for _, k, readings in records if readings]
+    chosen = {r["record"]: (1.5 * r["departures"], r["format"], r["utc_micros"]) for r in got}
+    for source in {s for s, _, _ in records}:
+        of = [(k, [(1.5 * d, f, m) for d, f, m in readings]) for s, k, readings in records if s == source and readings]
+        best = min((cost(c) for c in itertools.product(*(r for _, r in of))), default=0.0)
+        assert cost([chosen[k] for k, _ in of]) == pytest.approx(best)
+        assert all(chosen[k] in r for k, r in of)
 
 
 def test_a_source_over_many_tasks_gives_the_same_result(spark):
