@@ -2,9 +2,12 @@
 
 Dictionary-guided segmentation: a multi-pattern automaton finds the whole
 values of a reference list inside the text, and dynamic programming picks the
-cover by segments that is worth most, so that a delimiter inside a legitimate
-value is kept unless cutting there explains more of the text.  Quoted values,
-list marks and JSON lists are recognised before.
+cover by segments that is worth most.  Cuts are proposed at every delimiter.
+One of the field's own delimiters separates unless it stands inside a known
+value and cutting there explains less of the text; a soft one (a comma, a
+colon, a hyphen, a slash or "and" in prose) belongs to the value unless all
+that it joins are known values and the whole is none.  Quoted values, list
+marks and JSON lists are recognised before.
 
 The work is done a batch of distinct texts at a time inside Arrow tasks; it
 needs no shuffle, so a hot key or a repeated text plays no part.
@@ -35,19 +38,21 @@ CACHE_BOUND = 50_000
 
 @dataclass(frozen=True)
 class Grammar:
-    """How the values of a field are separated."""
+    """How the values of a field are separated: always, and where a dictionary speaks for it (with the blanks around)."""
 
     delimiter: str
     bullets: bool
     name: str
+    soft: str = ""
 
 
 #: Prose: commas, colons, hyphens, "and" and slashes without a blank before them belong to the value.
-PROSE = Grammar(r"[;；|\r\n]|(?<=\s)/|(?<=\s)[•·](?=\s)", True, "prose")
+PROSE = Grammar(r"[;；|\r\n]|(?<=\s)/|(?<=\s)[•·](?=\s)", True, "prose", r"\s*[,:&+/–-]\s*|\s+and\s+")
 #: Reference numbers: hyphens and blanks belong to the value.
 NUMBERS = Grammar(r"[,/;；|\r\n&+]|(?<=[\s\"”])and(?=[\s\"“])", False, "numbers")
 
 _QUOTES = {'"': '"', "“": "”", "„": "“", "«": "»"}
+_CLOSING = frozenset(_QUOTES.values())
 _BLANKS = re.compile(r"\s*")
 _BULLET = re.compile(r"[•·*‣▪–-]\s+")
 _ENUMERATED = re.compile(r"\(?(\d{1,3})[.)]\s+")
@@ -174,7 +179,7 @@ def split_packed(text: str | None, grammar: Grammar = PROSE, automaton: ahocoras
             cuts = sorted(set(cuts) | set(inline))
     if not cuts:
         token = _undo(text, grammar.bullets)
-        return [token] if token else []
+        return _known_parts(token, bare, grammar, automaton) if token else []
     quoted = _quoted_spans(text, marks, grammar.bullets)
     if quoted:
         starts = [a for a, _ in quoted]
@@ -185,14 +190,51 @@ def split_packed(text: str | None, grammar: Grammar = PROSE, automaton: ahocoras
         if start >= at:
             token = _undo(text[at:start], grammar.bullets)
             if token:
-                out.append(token)
+                out += _known_parts(token, text[at:start].strip(), grammar, automaton)
             at = stop
     return out
 
 
+def _known_parts(token: str, written: str, grammar: Grammar, automaton: ahocorasick.Automaton | None) -> list[str]:
+    """A value taken apart at soft delimiters where it is wholly made of known values, into the fewest of them; else itself.
+
+    A known value stays whole, and so does a quoted one.
+    """
+    if not grammar.soft or automaton is None or written[-1:] in _CLOSING:
+        return [token]
+    soft = _compiled_soft(grammar)
+    if not soft.search(token) or fold(token) in automaton:
+        return [token]
+    # pieces[p]: (known values before place p, start of the last one, its end).
+    pieces: dict[int, tuple[int, int, int]] = {0: (0, -1, 0)}
+    for start, stop in sorted(known_spans(token, automaton)):
+        if start not in pieces:
+            continue
+        joint = soft.match(token, stop)
+        after = len(token) + 1 if stop == len(token) else joint.end() if joint else -1
+        n = pieces[start][0] + 1
+        if after >= 0 and (after not in pieces or n < pieces[after][0]):
+            pieces[after] = (n, start, stop)
+    at, out = len(token) + 1, []
+    if at not in pieces:
+        return [token]
+    while at > 0:
+        _, start, stop = pieces[at]
+        out.append(token[start:stop])
+        at = start
+    return out[::-1]
+
+
 _PATTERNS: dict[str, re.Pattern] = {}
 
 
+def _compiled_soft(grammar: Grammar) -> re.Pattern:
+    name = f"{grammar.name}, soft"
+    if name not in _PATTERNS:
+        _PATTERNS[name] = re.compile(grammar.soft, re.IGNORECASE)
+    return _PATTERNS[name]
+
+
 def _compiled(grammar: Grammar) -> re.Pattern:
     if grammar.name not in _PATTERNS:
         _PATTERNS[grammar.name] = re.compile(grammar.delimiter, re.IGNORECASE)

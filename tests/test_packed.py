@@ -59,6 +59,35 @@ def test_the_dictionary_keeps_a_value_with_a_delimiter_whole():
     assert known_spans("relost; found", known) == []
 
 
+@pytest.mark.parametrize(
+    ("text", "values"),
+    [
+        ("Break-in, dwelling", ["Break-in, dwelling"]),
+        ("break-in, dwelling, Inquiry closed", ["break-in, dwelling", "Inquiry closed"]),
+        ("Inquiry closed and break-in, dwelling", ["Inquiry closed", "break-in, dwelling"]),
+        ("inquiry open/pending - inquiry closed; x", ["inquiry open/pending", "inquiry closed", "x"]),
+        ("Inquiry closed, done", ["Inquiry closed, done"]),
+        ("Update: inquiry closed", ["Update: inquiry closed"]),
+        ('"inquiry closed, inquiry open/pending"; x', ["inquiry closed, inquiry open/pending", "x"]),
+        ("• inquiry closed, inquiry closed", ["inquiry closed", "inquiry closed"]),
+    ],
+)
+def test_the_dictionary_decides_on_soft_delimiters(text, values):
+    assert split_packed(text, PROSE, KNOWN) == values
+
+
+def test_without_the_dictionary_other_values_come_out():
+    texts = ["break-in, dwelling, Inquiry closed", "Inquiry closed and break-in, dwelling", "inquiry open/pending - inquiry closed; x"]
+    assert all(split_packed(t, PROSE, KNOWN) != split_packed(t, PROSE) for t in texts)
+
+
+def test_the_fewest_known_values_cover():
+    known = build_automaton(["lost", "found", "lost and found", "towed"])
+    assert split_packed("lost and found, towed", PROSE, known) == ["lost and found", "towed"]
+    assert split_packed("found and lost", PROSE, known) == ["found", "lost"]
+    assert len(split_packed(", ".join(["towed"] * 50_000), PROSE, known)) == 50_000
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.text(alphabet="abc ,:-/'and", min_size=1, max_size=12).map(str.strip).filter(lambda s: s and s[0] not in "-/" and not s.endswith(" ")), min_size=1, max_size=6))
 def test_what_was_joined_is_split_again(values):
