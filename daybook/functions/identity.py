@@ -75,12 +75,16 @@ def case_references(case_number: Column) -> Column:
     return F.array_sort(F.array_distinct(F.regexp_extract_all(F.coalesce(case_number, F.lit("")), F.lit(REFERENCE), 0)))
 
 
+def amendment_of(new: Column) -> Column:
+    """The value that ``new`` writes an amendment of into the value itself; null where it is no amendment."""
+    new = F.coalesce(new, F.lit(""))
+    kept = F.trim(F.btrim(F.trim(F.regexp_extract(new, AMENDMENT, 1)), F.lit(",;")))
+    return F.when(new.rlike(AMENDMENT), kept)
+
+
 def amends_inline(old: Column, new: Column) -> Column:
     """Whether ``new`` writes an amendment of ``old`` into the value itself."""
-    new = F.coalesce(new, F.lit(""))
-    before = F.regexp_extract(new, AMENDMENT, 1)
-    kept = F.trim(F.btrim(F.trim(before), F.lit(",;")))
-    return new.rlike(AMENDMENT) & (kept == F.trim(F.coalesce(old, F.lit(""))))
+    return F.coalesce(amendment_of(new) == F.trim(F.coalesce(old, F.lit(""))), F.lit(False))
 
 
 def strictly_within(a: Column, b: Column) -> Column:

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from daybook.functions.identity import FIELDS, canonical_reported, case_references, corroborates, is_cosmetic, is_renumbering, normalize_case_number, strictly_within
+from daybook.functions.identity import FIELDS, amendment_of, canonical_reported, case_references, corroborates, is_cosmetic, is_renumbering, normalize_case_number, strictly_within
 from daybook.session import cut_lineage
 
 # Groups of statuses; they differ on purpose.
@@ -34,9 +34,12 @@ source_era string, student_flag string, source_row_index int, content_hash strin
 missing_count int, last_absent date, status string, superseded_by string, revision int, flags string"""
 ARCHIVE_COLUMNS = [c.split()[0] for c in ARCHIVE_SCHEMA.replace("\n", " ").split(",")]
 
-EVENT_SCHEMA = """observed_date date, incident_uid string, change_type string, field_name string, old_value string, new_value string, cosmetic boolean, case_number string,
+EVENT_SCHEMA = """observed_date date, run_seq int, incident_uid string, change_type string, field_name string, old_value string, new_value string, cosmetic boolean, revision int, case_number string,
 date_reported string, nature string, source_file_id string, from_file_id string, to_file_id string, missing_since date, was_missing_since date, confirmations int,
-previous_status string, last_known_disposition string, superseded_by string, possible_replacement string, source_month string, removal_mechanism string"""
+previous_status string, last_known_disposition string, superseded_by string, possible_replacement string, source_month string, removal_mechanism string, event_source string,
+capture_timestamp string"""
+#: The log as it is read: events in the order they were written.
+LOG_SCHEMA = "log_pos bigint, " + EVENT_SCHEMA
 EVENT_COLUMNS = [tuple(c.split()) for c in EVENT_SCHEMA.replace("\n", " ").split(",")]
 
 
@@ -46,13 +49,17 @@ class ArchiveIntegrityError(RuntimeError):
 
 @dataclass
 class MergeResult:
-    """rows (the new archive), events, quarantined files and what was decided for each record."""
+    """rows (the new archive), events, the guard of each file that was read, and what was decided for each record."""
 
     rows: DataFrame
     events: DataFrame
-    quarantined: DataFrame
+    guard: DataFrame
     decisions: DataFrame
 
+    @property
+    def quarantined(self) -> DataFrame:
+        return self.guard.filter("quarantined").select("source_file_id")
+
 
 def last_observed(observed: DataFrame, order: tuple[str, ...] = ("file_order", "source_row_index")) -> DataFrame:
     """One observation a uid: the last in file order, then row order."""
@@ -60,40 +67,71 @@ def last_observed(observed: DataFrame, order: tuple[str, ...] = ("file_order", "
     return observed.withColumn("_nth", F.row_number().over(newest)).filter("_nth = 1").drop("_nth")
 
 
-def _bucket(prefix: str) -> list[Column]:
-    return [F.coalesce(F.col(f"{prefix}.source_file_id"), F.lit("")), F.coalesce(F.col(f"{prefix}.date_reported_raw"), F.lit(""))]
-
-
 def match_renumbered(existing: DataFrame, observed: DataFrame, fetched: DataFrame) -> DataFrame:
     """Records republished under an edited case number: uid, outcome (fork, near_miss, ambiguous), match.
 
     ``existing`` and ``observed`` have one row a uid; ``fetched`` has the ids of
     files that were read.  A row that went absent is compared with the rows of
-    the same file and reported time; campus and location have to agree, so they
-    are join keys too.  An extended case number links at once, an exchanged one
-    only as the sole exchange in its bucket.
+    the same file and reported time that agree in campus, location and nature.
+    An extended case number links at once, an exchanged one only as the sole
+    exchange in its file and time; of anything more than one it is only known
+    that there are several.
+
+    So rows need not be paired to be counted: all rows of a bucket count as
+    possible matches of each absent one, less those that share a reference
+    number with it in a way that rules them out.  Rows are paired only where
+    they share a reference number, where a file and time has one absent row,
+    and to name a match that is known to be the only one.
     """
     columns = ["incident_uid", "source_file_id", "case_number_raw", "date_reported_raw", "date_occurred_raw", "nature_raw", "campus_raw", "location_raw"]
     old = existing.filter(F.col("status").isin(*MATCHABLE)).join(fetched.select("source_file_id").distinct(), "source_file_id", "left_semi")
-    gone = old.join(observed.select("incident_uid"), "incident_uid", "left_anti").select(*columns)
+    gone = old.join(observed.select("incident_uid"), "incident_uid", "left_anti").select(*columns, (F.col("status") == "active").cast("int").alias("in_pool"))
     fresh = observed.join(existing.select("incident_uid"), "incident_uid", "left_anti")
     carried = existing.filter("status = 'active'").join(observed.select("incident_uid"), "incident_uid", "left_anti")
-    pool = observed.select(*columns).unionByName(carried.select(*columns)).withColumn("refs", case_references(F.col("case_number_raw")))
-
-    place = [F.coalesce(F.col("source_file_id"), F.lit("")).alias("b_file"), F.coalesce(F.col("date_reported_raw"), F.lit("")).alias("b_time")]
-    counts = gone.select(*place, F.lit(1).alias("g"), F.lit(0).alias("f")).unionAll(fresh.select(*place, F.lit(0), F.lit(1)))
-    single = counts.groupBy("b_file", "b_time").agg(F.sum("g").alias("g"), F.sum("f").alias("f")).select("b_file", "b_time", ((F.col("g") == 1) & (F.col("f") == 1)).alias("one_for_one"))
-
-    a = gone.withColumn("refs", case_references(F.col("case_number_raw"))).filter("size(refs) > 0").alias("a")
-    b = pool.filter("size(refs) > 0").alias("b")
-    same = lambda f: F.coalesce(F.col(f"a.{f}"), F.lit("")) == F.coalesce(F.col(f"b.{f}"), F.lit(""))
-    keys = same("source_file_id") & same("date_reported_raw") & same("campus_raw") & same("location_raw")
-    pairs = a.join(b, keys & (F.col("a.incident_uid") != F.col("b.incident_uid")) & is_renumbering(F.col("a.refs"), F.col("b.refs")) & corroborates("a", "b", ignore_occurred=True))
-    pairs = pairs.join(single, (_bucket("a")[0] == F.col("b_file")) & (_bucket("a")[1] == F.col("b_time")), "left")
-    links = strictly_within(F.col("a.refs"), F.col("b.refs")) | (corroborates("a", "b", ignore_occurred=False) & F.coalesce(F.col("one_for_one"), F.lit(False)))
+    pool = observed.select(*columns).unionByName(carried.select(*columns))
+
+    text = lambda c: F.coalesce(F.col(c), F.lit(""))
+    place = [text("source_file_id").alias("k_file"), text("date_reported_raw").alias("k_time")]
+    # Few rows go absent in a run, and only rows of their buckets are looked at further; both are used several times.
+    gone = cut_lineage(gone.select("*", *place))
+    lone = gone.groupBy("k_file", "k_time").count().filter("count = 1").select("k_file", "k_time")
+    single = fresh.select(*place).join(lone, ["k_file", "k_time"], "left_semi").groupBy("k_file", "k_time").count().filter("count = 1").select("k_file", "k_time")
+
+    keys = ["k_file", "k_time", "k_campus", "k_location", "k_nature"]
+
+    def keyed(rows: DataFrame, amended: Column) -> DataFrame:
+        """A row for the nature as it is and one for the nature it may amend or be amended from; two rows agree under at most one of them."""
+        natures = F.array_compact(F.array(F.concat(F.lit("="), text("nature_raw")), F.concat(F.lit("~"), amended)))
+        rows = rows.select(*columns, *[c for c in rows.columns if c == "in_pool"], *place, text("campus_raw").alias("k_campus"), text("location_raw").alias("k_location"), F.explode(natures).alias("k_nature"), case_references(F.col("case_number_raw")).alias("refs"))
+        return rows.filter("size(refs) > 0")
+
+    a = keyed(gone, F.trim(text("nature_raw")))
+    b = cut_lineage(keyed(pool, amendment_of(F.col("nature_raw"))).join(a.select(*keys).distinct(), keys, "left_semi"))
+    per_key = b.groupBy(*keys).agg(F.count("*").alias("n"))
+    totals = a.join(per_key, keys).groupBy("incident_uid").agg(F.sum("n").alias("n"), F.max("in_pool").alias("itself"))
+
     match = F.struct(F.col("b.incident_uid").alias("uid"), F.col("b.case_number_raw").alias("case_number"), F.col("b.date_reported_raw").alias("reported"))
-    tiers = pairs.select(F.col("a.incident_uid").alias("uid"), links.alias("links"), match.alias("match"))
-    tiers = tiers.groupBy("uid").agg(F.count_if("links").alias("n_links"), F.count_if(~F.col("links")).alias("n_others"), F.min(F.when(F.col("links"), F.col("match"))).alias("linked"), F.min(F.when(~F.col("links"), F.col("match"))).alias("other"))
+    on = [F.col(f"a.{k}") == F.col(f"b.{k}") for k in keys] + [F.col("a.incident_uid") != F.col("b.incident_uid")]
+    x, y = F.col("a.refs"), F.col("b.refs")
+    by_ref = lambda rows: rows.withColumn("ref", F.explode("refs"))
+    # Each pair once, at the smallest reference it shares.
+    sharing = by_ref(a).alias("a").join(by_ref(b).alias("b"), [F.col("a.ref") == F.col("b.ref"), *on]).filter(F.col("a.ref") == F.array_min(F.array_intersect(x, y)))
+    related = sharing.groupBy(F.col("a.incident_uid").alias("incident_uid")).agg(
+        F.count_if(strictly_within(x, y)).alias("extended"), F.count_if(strictly_within(y, x)).alias("shortened"), F.min(F.when(strictly_within(x, y), match)).alias("linked")
+    )
+    several = totals.join(related, "incident_uid", "left").join(gone.join(single, ["k_file", "k_time"], "left_semi").select("incident_uid"), "incident_uid", "left_anti")
+    n = lambda c: F.coalesce(F.col(c), F.lit(0))
+    several = several.select(F.col("incident_uid").alias("uid"), n("extended").alias("n_links"), (F.col("n") - F.col("itself") - n("extended") - n("shortened")).alias("n_others"), "linked")
+    sole = several.filter("n_links = 0 AND n_others = 1").select(F.col("uid").alias("incident_uid"))
+    named = a.join(sole, "incident_uid", "left_semi").alias("a").join(b.alias("b"), on).filter(~strictly_within(y, x)).groupBy(F.col("a.incident_uid").alias("uid")).agg(F.min(match).alias("other"))
+    several = several.join(named, "uid", "left")
+
+    alone = a.join(single, ["k_file", "k_time"]).alias("a").join(b.alias("b"), on).filter(is_renumbering(x, y))
+    links = strictly_within(x, y) | corroborates("a", "b", ignore_occurred=False)
+    alone = alone.select(F.col("a.incident_uid").alias("uid"), links.alias("links"), match.alias("match")).groupBy("uid")
+    alone = alone.agg(F.count_if("links").alias("n_links"), F.count_if(~F.col("links")).alias("n_others"), F.min(F.when(F.col("links"), F.col("match"))).alias("linked"), F.min(F.when(~F.col("links"), F.col("match"))).alias("other"))
+
+    tiers = several.unionByName(alone).filter("n_links + n_others > 0")
     outcome = F.when(F.col("n_links") == 1, "fork").when(F.col("n_links") > 1, "ambiguous").when(F.col("n_others") == 1, "near_miss").otherwise("ambiguous")
     return tiers.select("uid", outcome.alias("outcome"), F.when(F.col("n_links") == 1, F.col("linked")).when((F.col("n_links") == 0) & (F.col("n_others") == 1), F.col("other")).alias("match"))
 
@@ -126,7 +164,11 @@ def _with_flag(flags: Column, *more: Column | str) -> Column:
     return F.array_join(F.array_sort(F.array_distinct(F.filter(F.concat(*lists), lambda f: f != ""))), ";")
 
 
-def merge(existing: DataFrame, observed: DataFrame, files: DataFrame, today: str, confirm_withdrawals: bool = True) -> MergeResult:
+#: Numbers of a day's events that each run has to itself; a record has fewer events in one run.
+EVENTS_OF_RUN = 100
+
+
+def merge(existing: DataFrame, observed: DataFrame, files: DataFrame, today: str, confirm_withdrawals: bool = True, run: int = 1) -> MergeResult:
     """Merges the observations of one run into the archive.
 
     ``existing`` has the columns of ARCHIVE_SCHEMA; ``observed`` the eight
@@ -134,8 +176,10 @@ def merge(existing: DataFrame, observed: DataFrame, files: DataFrame, today: str
     source_row_index, file_order, flags, student_flag, source_era and
     source_month; ``files`` has source_file_id, fetched, name, month, removed
     and repurposed, one row a file.  Without ``confirm_withdrawals`` absences
-    are flagged, not counted (irregular captures).  Extra columns are ignored;
-    an empty archive takes everything as added.
+    are flagged, not counted (irregular captures).  ``run`` is the number of the
+    run on its day; by it and their order a record's events of a day are
+    numbered.  Extra columns are ignored; an empty archive takes everything as
+    added.
     """
     day = F.lit(today).cast("date")
     existing = existing.select(*ARCHIVE_COLUMNS)
@@ -205,20 +249,23 @@ def merge(existing: DataFrame, observed: DataFrame, files: DataFrame, today: str
         .when(d == "flagged", _with_flag(base_flags, "absent_in_later_capture"))
         .otherwise(base_flags),
     }
-    out = j.select(*[rows[c].alias(c) for c in ARCHIVE_COLUMNS], d.alias("decision"), _events(day).alias("events"), F.col("outcome").alias("match_outcome"))
+    out = j.select(*[rows[c].alias(c) for c in ARCHIVE_COLUMNS], d.alias("decision"), _events(day).alias("events"), F.col("outcome").alias("match_outcome"), "changed")
     out = cut_lineage(out)
-    decisions = out.select("incident_uid", "decision", "match_outcome")
-    events = out.select(F.inline("events"))
-    return MergeResult(out.select(*ARCHIVE_COLUMNS), events, guard.filter("quarantined").select("source_file_id"), decisions)
+    decisions = out.select("incident_uid", "decision", "match_outcome", "changed")
+    events = out.select(F.posexplode("events").alias("nth", "e"))
+    number = F.lit((run - 1) * EVENTS_OF_RUN) + F.col("nth") + 1
+    events = events.select(*[number.cast("int").alias(n) if n == "run_seq" else F.col(f"e.{n}").alias(n) for n, _ in EVENT_COLUMNS])
+    return MergeResult(out.select(*ARCHIVE_COLUMNS), events, guard, decisions)
 
 
 def _events(day: Column) -> Column:
     """The events of one joined row."""
     d, status = F.col("decision"), F.col("e_status")
+    lacking = {name: F.lit(None).cast(kind).alias(name) for name, kind in EVENT_COLUMNS}
 
     def event(kind: str | Column, **values: Column) -> Column:
         given = {"observed_date": day, "incident_uid": F.coalesce("e_incident_uid", "o_incident_uid"), "change_type": F.lit(kind) if isinstance(kind, str) else kind} | values
-        return F.struct(*[given.get(name, F.lit(None)).cast(kind_).alias(name) for name, kind_ in EVENT_COLUMNS])
+        return F.struct(*[given[name].cast(kind_).alias(name) if name in given else lacking[name] for name, kind_ in EVENT_COLUMNS])
 
     old = {"case_number": F.col("e_case_number_raw")}
     full = old | {"date_reported": F.col("e_date_reported_raw"), "nature": F.col("e_nature_raw"), "last_known_disposition": F.col("e_disposition_raw")}
@@ -226,7 +273,7 @@ def _events(day: Column) -> Column:
     since = F.coalesce(F.col("e_missing_since"), day)
     single = [
         (F.col("first_review"), event("possible_renumbering", possible_replacement=F.col("match.case_number"), source_month=F.col("e_source_month"), **old)),
-        (d == "added", event("added", case_number=F.col("o_case_number_raw"), date_reported=F.col("o_date_reported_raw"), nature=F.col("o_nature_raw"))),
+        (d == "added", event("added", revision=F.lit(1), source_file_id=F.col("o_source_file_id"), case_number=F.col("o_case_number_raw"), date_reported=F.col("o_date_reported_raw"), nature=F.col("o_nature_raw"))),
         ((d == "seen") & status.isin("missing", "withdrawn"), event("reappeared", was_missing_since=F.col("e_missing_since"), previous_status=status)),
         ((d == "seen") & ~F.col("o_source_file_id").eqNullSafe(F.col("e_source_file_id")), event("relocated", from_file_id=F.col("e_source_file_id"), to_file_id=F.col("o_source_file_id"))),
         (d == "superseded", event("superseded_identity", superseded_by=F.col("match.uid"), old_value=F.col("e_case_number_raw"), new_value=F.col("match.case_number"), **old)),
@@ -239,7 +286,7 @@ def _events(day: Column) -> Column:
     text = lambda c: F.coalesce(F.col(c), F.lit(""))
     fields = F.array(*[F.struct(F.lit(f).alias("f"), text(f"e_{f}").alias("o"), text(f"o_{f}").alias("n")) for f in FIELDS])
     differing = F.filter(F.when((d == "seen") & F.col("changed"), fields).otherwise(F.slice(fields, 1, 0)), lambda x: x["o"] != x["n"])
-    amended = F.transform(differing, lambda x: event("amended", field_name=x["f"], old_value=x["o"], new_value=x["n"], cosmetic=is_cosmetic(x["f"], x["o"], x["n"]), case_number=F.col("o_case_number_raw")))
+    amended = F.transform(differing, lambda x: event("amended", revision=F.coalesce(F.col("e_revision"), F.lit(0)) + 1, field_name=x["f"], old_value=x["o"], new_value=x["n"], cosmetic=is_cosmetic(x["f"], x["o"], x["n"]), case_number=F.col("o_case_number_raw")))
     return F.concat(plain, amended)
 
 
@@ -279,5 +326,41 @@ def merge_summary(result: MergeResult) -> DataFrame:
     return result.events.groupBy("change_type").agg(F.count_distinct("incident_uid").alias("n"))
 
 
+#: Most warnings of a report; there are as many as files and contradicted records, all of them in the tables they come from.
+REPORT_WARNINGS = 15
+
+
+def merge_report(result: MergeResult, files: DataFrame) -> DataFrame:
+    """The report of a run, one row: counts of records by what happened to them, unchanged, quarantined, unfetched, changed, summary.
+
+    ``unchanged`` counts records that were seen and read as before.  A run
+    counts as changed by anything but absences.  Files are few by nature.
+    """
+    named = {"added": "added", "amended": "amended", "missing": "missing", "withdrawn": "withdrawn", "source_removed": "source_removed", "reappeared": "reappeared", "relocated": "relocated", "superseded": "superseded_identity"}
+    pairs = result.events.select("incident_uid", "change_type").distinct()
+    counts = pairs.agg(*[F.count_if(F.col("change_type") == k).cast("int").alias(n) for n, k in named.items()])
+    same = result.decisions.agg(F.count_if((F.col("decision") == "seen") & ~F.col("changed")).cast("int").alias("unchanged"))
+    listed = lambda df, of: df.agg(F.array_sort(F.collect_set("source_file_id")).alias(of))
+    one = counts.join(F.broadcast(same)).join(F.broadcast(listed(result.quarantined, "quarantined"))).join(F.broadcast(listed(files.filter(~F.coalesce("fetched", F.lit(False))), "unfetched")))  # one row each
+    changed = sum((F.col(n) for n in named if n != "missing"), F.lit(0)) > 0
+    summary = F.format_string("+%d added, %d amended, %d missing, %d withdrawn, %d source-removed, %d reappeared, %d superseded", *[F.col(n) for n in named if n != "relocated"])
+    return one.withColumns({"changed": changed, "summary": summary})
+
+
+def merge_warnings(result: MergeResult, most: int | None = None) -> DataFrame:
+    """What an editor should look at after a run: subject (a file or a record) and warning; the first ``most`` by subject where given."""
+    g = result.guard
+    files = g.filter("quarantined OR warned").select(
+        F.col("source_file_id").alias("subject"),
+        F.when(F.col("kept") == 0, "read, but none of its rows was seen: quarantined")
+        .when(F.col("quarantined"), F.format_string("%d of %d rows absent: quarantined", F.col("dropped"), F.col("accountable")))
+        .otherwise(F.format_string("%d row(s) absent", F.col("dropped")))
+        .alias("warning"),
+    )
+    records = result.decisions.filter("decision = 'contradicted'").select(F.col("incident_uid").alias("subject"), F.lit("published again beside its replacement").alias("warning"))
+    out = files.unionByName(records)
+    return out.orderBy("subject", "warning").limit(most) if most else out
+
+
 def empty_archive(spark) -> DataFrame:
     return spark.createDataFrame([], ARCHIVE_SCHEMA)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from daybook.functions import dates, identity, tokens
-from daybook.operators import ladders, legacy, merge
+from daybook.operators import ladders, legacy
 from daybook.plans import archive_sql as q
 from daybook.plans import derive
 from daybook.session import clean_key, table
@@ -308,92 +308,6 @@ def absence_ladder(spark, d):
     return ladders.absence_runs(s.join(number, ["snapshot_date", "snapshot_seq"]), "uid", "k", "present")
 
 
-def _files(spark, d) -> DataFrame:
-    f = table(spark, d, "source_files")
-    return f.select("source_file_id", F.coalesce(F.col("status") == "active", F.lit(False)).alias("fetched"), F.col("source_file_name").alias("name"), F.col("source_month").alias("month"), (F.coalesce("absent_count", F.lit(0)) >= 3).alias("removed"), F.lit(False).alias("repurposed"))
-
-
-def _sides(spark, d) -> tuple[DataFrame, DataFrame]:
-    """The archive as of its latest revisions, and what its files publish: the same records as first delivered, if active."""
-    i = incidents(spark, d)
-    first = Window.partitionBy("incident_uid").orderBy("row_id")
-    seen = i.withColumn("_nth", F.row_number().over(first)).filter("_nth = 1").filter("status = 'active' AND missing_since IS NULL").drop("_nth").withColumn("file_order", F.lit(1))
-    return archive(spark, d), seen
-
-
-_MERGE_SQL = f"""WITH {q.ARCHIVE},
-f AS (SELECT source_file_id AS fid, coalesce(status = 'active', false) AS fetched, source_month AS fmonth, coalesce(absent_count, 0) >= 3 AS removed FROM source_files),
-o AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY incident_uid ORDER BY row_id) AS k FROM incidents) WHERE k = 1 AND status = 'active' AND missing_since IS NULL),
-e AS (SELECT arch.*, coalesce(fetched, false) AS fetched, coalesce(removed, false) AS removed, fmonth, coalesce(fetched AND coalesce(fmonth, '') <> '' AND coalesce(source_month, '') <> '' AND status IN ('active', 'missing', 'withdrawn') AND source_month <> fmonth, false) AS stale FROM arch LEFT JOIN f ON source_file_id = fid),
-gone AS (SELECT e.*, {q.refs('case_number_raw')} AS refs FROM e WHERE status IN ('active', 'missing', 'withdrawn') AND fetched AND incident_uid NOT IN (SELECT incident_uid FROM o)),
-pool AS (SELECT incident_uid, source_file_id, date_reported_raw, case_number_raw, date_occurred_raw, nature_raw, campus_raw, location_raw, {q.refs('case_number_raw')} AS refs FROM o
-  UNION ALL SELECT incident_uid, source_file_id, date_reported_raw, case_number_raw, date_occurred_raw, nature_raw, campus_raw, location_raw, {q.refs('case_number_raw')} FROM e WHERE status = 'active' AND incident_uid NOT IN (SELECT incident_uid FROM o)),
-g1 AS (SELECT source_file_id AS a, date_reported_raw AS b, count(*) AS g FROM gone GROUP BY 1, 2),
-f1 AS (SELECT source_file_id AS a, date_reported_raw AS b, count(*) AS n FROM o WHERE incident_uid NOT IN (SELECT incident_uid FROM e) GROUP BY 1, 2),
-pairs AS (SELECT g.incident_uid AS uid, p.incident_uid AS puid, coalesce(g.date_occurred_raw, '') = coalesce(p.date_occurred_raw, '') AS fully, len([x for x in g.refs if NOT list_contains(p.refs, x)]) = 0 AND len(p.refs) > len(g.refs) AS appended,
-    coalesce((SELECT g1.g = 1 FROM g1 WHERE g1.a = g.source_file_id AND g1.b = g.date_reported_raw) AND (SELECT f1.n = 1 FROM f1 WHERE f1.a = g.source_file_id AND f1.b = g.date_reported_raw), false) AS single
-  FROM gone g JOIN pool p ON g.source_file_id = p.source_file_id AND coalesce(g.date_reported_raw, '') = coalesce(p.date_reported_raw, '') AND g.incident_uid <> p.incident_uid
-  WHERE len(g.refs) > 0 AND len(p.refs) > 0 AND NOT (len([x for x in p.refs if NOT list_contains(g.refs, x)]) = 0 AND len(g.refs) > len(p.refs))
-    AND (coalesce(g.nature_raw, '') = coalesce(p.nature_raw, '') OR {q.inline('g.nature_raw', 'p.nature_raw')}) AND coalesce(g.campus_raw, '') = coalesce(p.campus_raw, '') AND coalesce(g.location_raw, '') = coalesce(p.location_raw, '')),
-tier AS (SELECT uid, count(*) FILTER (appended OR (fully AND single)) AS l, count(*) FILTER (NOT (appended OR (fully AND single))) AS r, min(puid) FILTER (appended OR (fully AND single)) AS lp, min(puid) FILTER (NOT (appended OR (fully AND single))) AS rp FROM pairs GROUP BY 1),
-mt AS (SELECT uid, CASE WHEN l = 1 THEN 'fork' WHEN l > 1 THEN 'ambiguous' WHEN r = 1 THEN 'near_miss' ELSE 'ambiguous' END AS outcome, CASE WHEN l = 1 THEN lp WHEN l = 0 AND r = 1 THEN rp END AS match FROM tier),
-acc AS (SELECT e.source_file_id AS fid, count(*) AS accountable, count(*) FILTER (EXISTS (SELECT 1 FROM o WHERE o.incident_uid = e.incident_uid AND o.source_file_id = e.source_file_id)) AS kept FROM e WHERE status IN ('active', 'missing') AND fetched AND NOT stale AND incident_uid NOT IN (SELECT uid FROM mt WHERE outcome <> 'ambiguous') GROUP BY 1),
-guard AS (SELECT fid AS source_file_id, accountable, kept, accountable - kept AS dropped, (SELECT count(*) FROM o WHERE o.source_file_id = acc.fid) = 0 OR accountable - kept > 2 OR kept / accountable < 0.9 AS quarantined FROM acc),
-dec AS (SELECT e.*, o.incident_uid IS NOT NULL AS seen, o.content_hash AS ohash, o.source_file_id AS ofile, mt.match, e.fetched AND NOT coalesce(guard.quarantined, false) AS trusted, CASE WHEN e.fetched AND NOT coalesce(guard.quarantined, false) THEN mt.outcome END AS oc
-  FROM e LEFT JOIN o ON e.incident_uid = o.incident_uid LEFT JOIN mt ON mt.uid = e.incident_uid LEFT JOIN guard ON guard.source_file_id = e.source_file_id),
-fin AS (SELECT *, CASE WHEN seen AND status = 'superseded' THEN 'contradicted' WHEN seen THEN 'seen' WHEN oc = 'fork' THEN 'superseded' WHEN removed THEN CASE WHEN status = 'source_removed' THEN 'kept' ELSE 'removed' END WHEN stale THEN 'held' WHEN oc = 'near_miss' THEN 'held'
-  WHEN trusted AND status NOT IN ('withdrawn', 'superseded', 'source_removed') AND NOT coalesce(missing_since = DATE '{TODAY}' OR last_absent = DATE '{TODAY}', false) THEN 'absent' ELSE 'kept' END AS decision FROM dec)"""
-
-
-@query(_MERGE_SQL + f""" SELECT incident_uid, decision, CASE decision WHEN 'seen' THEN 'active' WHEN 'superseded' THEN 'superseded' WHEN 'removed' THEN 'source_removed' WHEN 'absent' THEN CASE WHEN coalesce(missing_count, 0) + 1 >= 3 THEN 'withdrawn' ELSE 'missing' END ELSE status END AS status,
-  CASE WHEN decision = 'superseded' THEN match ELSE superseded_by END AS superseded_by, CASE WHEN decision = 'seen' AND ohash IS DISTINCT FROM content_hash THEN coalesce(revision, 0) + 1 ELSE revision END AS revision,
-  CASE WHEN decision = 'seen' THEN 0 WHEN decision = 'absent' THEN coalesce(missing_count, 0) + 1 ELSE missing_count END AS missing_count FROM fin""")
-def merge_full_outer(spark, d):
-    existing, seen = _sides(spark, d)
-    result = merge.merge(existing, seen, _files(spark, d), TODAY)
-    return result.rows.join(result.decisions.select("incident_uid", "decision"), "incident_uid").select("incident_uid", "decision", "status", "superseded_by", "revision", "missing_count")
-
-
-@query(_MERGE_SQL + """, s AS (SELECT decision, status, seen, ohash IS DISTINCT FROM content_hash AS changed, ofile <> source_file_id AS moved, coalesce(missing_count, 0) + 1 AS steps, oc = 'near_miss' AND NOT contains(coalesce(flags, ''), 'possible_duplicate_identity') AS asked FROM fin)
-  SELECT change_type, n FROM (SELECT 'reappeared' AS change_type, count(*) FILTER (decision = 'seen' AND status IN ('missing', 'withdrawn')) AS n FROM s UNION ALL SELECT 'relocated', count(*) FILTER (decision = 'seen' AND moved) FROM s
-  UNION ALL SELECT 'superseded_identity', count(*) FILTER (decision = 'superseded') FROM s UNION ALL SELECT 'source_removed', count(*) FILTER (decision = 'removed') FROM s UNION ALL SELECT 'missing', count(*) FILTER (decision = 'absent' AND steps < 3) FROM s
-  UNION ALL SELECT 'withdrawn', count(*) FILTER (decision = 'absent' AND steps >= 3) FROM s UNION ALL SELECT 'possible_renumbering', count(*) FILTER (asked) FROM s
-  UNION ALL SELECT 'amended', count(*) FROM fin JOIN o USING (incident_uid) WHERE decision = 'seen' AND ohash IS DISTINCT FROM fin.content_hash AND (""" + " OR ".join(f"coalesce(fin.{f}, '') <> coalesce(o.{f}, '')" for f in identity.FIELDS) + """)) WHERE n > 0""")
-def merge_events(spark, d):
-    existing, seen = _sides(spark, d)
-    return merge.merge_summary(merge.merge(existing, seen, _files(spark, d), TODAY))
-
-
-@query(_MERGE_SQL + " SELECT uid, outcome, match FROM mt")
-def fork_match_tiers(spark, d):
-    existing, seen = _sides(spark, d)
-    fetched = _files(spark, d).filter("fetched")
-    return merge.match_renumbered(existing, merge.last_observed(seen), fetched).select("uid", "outcome", F.col("match.uid").alias("match"))
-
-
-@query(_MERGE_SQL + " SELECT source_file_id, accountable, kept, dropped, quarantined FROM guard")
-def shrink_guard(spark, d):
-    existing, seen = _sides(spark, d)
-    files = _files(spark, d)
-    matched = merge.match_renumbered(existing, merge.last_observed(seen), files.filter("fetched")).filter("outcome <> 'ambiguous'").select(F.col("uid").alias("incident_uid"))
-    stale = existing.join(files, "source_file_id").filter(merge.stale_cohort("", F.col("month"), F.col("fetched"))).select("incident_uid")
-    return merge.shrink_guard(existing, seen, files, matched.unionAll(stale)).select("source_file_id", "accountable", "kept", "dropped", "quarantined")
-
-
-@query(_MERGE_SQL + " SELECT incident_uid, source_month FROM e WHERE stale")
-def stale_cohort(spark, d):
-    files = _files(spark, d).select("source_file_id", "month", "fetched")
-    return archive(spark, d).join(files, "source_file_id").filter(merge.stale_cohort("", F.col("month"), F.col("fetched"))).select("incident_uid", "source_month")
-
-
-@query(_MERGE_SQL + """ SELECT CAST(0 AS BIGINT) AS lost, count(*) FILTER (status = 'active' AND decision <> 'removed') AS active_before,
-  count(*) FILTER (decision = 'seen' OR (status = 'active' AND decision IN ('kept', 'held', 'contradicted'))) AS active_after FROM fin WHERE NOT (status = 'source_removed' AND decision <> 'seen')""")
-def corpus_brake(spark, d):
-    existing, seen = _sides(spark, d)
-    found = merge.broken_invariants(existing, merge.merge(existing, seen, _files(spark, d), TODAY))
-    return spark.createDataFrame([(found["lost"], found["active_before"], found["active_after"])], "lost bigint, active_before bigint, active_after bigint")
-
-
 @query(f"WITH {q.ARCHIVE} SELECT source_file_id, count(*) AS n, coalesce(array_to_string(list_sort(list(DISTINCT source_month) FILTER (status IN ('active', 'missing', 'withdrawn') AND coalesce(source_month, '') <> '')), ', '), '') AS months FROM arch GROUP BY 1")
 def rows_by_file(spark, d):
     return ladders.rows_by_file(archive(spark, d))

@@ -9,38 +9,58 @@ from pyspark.sql import functions as F
 
 from daybook.operators.ladders import changed_only, lost_entries
 from daybook.operators.merge import ARCHIVE_COLUMNS, MergeResult, check_invariants
-from daybook.sources.landed import read_archive, read_changelog, read_pointer
+from daybook.sources.landed import read_archive, read_pointers
 
 
-def write_version(spark: SparkSession, root: str, result: MergeResult, version: str) -> str:
-    """Writes archive and change log of a merge as ``version`` and points to it; refuses a broken invariant.
+def write_version(spark: SparkSession, root: str, result: MergeResult, version: str, event_source: str | None = None, capture_timestamp: str | None = None) -> str:
+    """Writes archive and new events of a merge as ``version`` and points to it; refuses a broken invariant.
 
-    Both tables become visible together, by one small file written last, so a
-    job that is lost half way leaves the version before in force.
+    Both become visible together, by one small file written last that is never
+    changed, so a job that is lost half way leaves the version before in force.
+    The log grows by the new events only; they are numbered on from its end.
     """
-    before = read_archive(spark, root)
-    check_invariants(before, result)
-    log = read_changelog(spark, root).unionByName(result.events)
-    result.rows.select(*ARCHIVE_COLUMNS).sort("incident_uid").write.mode("overwrite").parquet(f"{root}/{version}/archive")
-    log.write.mode("overwrite").partitionBy("observed_date").parquet(f"{root}/{version}/changelog")
-    point(spark, root, version)
+    pointers = read_pointers(spark, root)
+    check_invariants(read_archive(spark, root), result)
+    result.rows.select(*ARCHIVE_COLUMNS).sort("incident_uid").write.mode("overwrite").parquet(f"{root}/versions/{version}")
+    given = {"event_source": event_source, "capture_timestamp": capture_timestamp}
+    events = result.events.withColumns({k: F.coalesce(F.col(k), F.lit(v).cast("string")) for k, v in given.items()})
+    end = pointers[-1]["log_end"] if pointers else 0
+    numbered, n = number_events(events, end)
+    numbered.write.mode("overwrite").parquet(f"{root}/changelog/{version}")
+    point(spark, root, len(pointers) + 1, version, end + n)
     return version
 
 
-def point(spark: SparkSession, root: str, version: str) -> None:
+def number_events(events: DataFrame, end: int) -> tuple[DataFrame, int]:
+    """``events`` with log_pos, counting on from ``end`` in their order, and how many there are.
+
+    Numbered within their partitions, with the sizes of the partitions before
+    added: no event is moved.  ``events`` has to keep its partitions (it comes
+    from a checkpoint).
+    """
+    marked = events.withColumn("_at", F.monotonically_increasing_id()).withColumns({"_part": F.shiftright("_at", 33), "_nth": F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))})
+    sizes = {r["_part"]: r["n"] for r in marked.groupBy("_part").agg(F.count("*").alias("n")).collect()}  # one row a partition
+    before, n = {}, 0
+    for part in sorted(sizes):
+        before[part], n = n, n + sizes[part]
+    starts = F.create_map(*[F.lit(x) for p, b in before.items() for x in (p, b)]) if before else F.lit(None).cast("map<bigint,bigint>")
+    return marked.select((F.lit(end) + F.try_element_at(starts, F.col("_part")) + F.col("_nth") + 1).cast("bigint").alias("log_pos"), *events.columns), n
+
+
+def point(spark: SparkSession, root: str, number: int, version: str, log_end: int) -> None:
+    """Puts pointer ``number`` in place in one step; fails where it is there already, as another run was faster."""
     jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    target, staged = jvm.org.apache.hadoop.fs.Path(f"{root}/CURRENT"), jvm.org.apache.hadoop.fs.Path(f"{root}/_CURRENT.{version}")
-    fs = target.getFileSystem(conf)
+    target, staged = (jvm.org.apache.hadoop.fs.Path(f"{root}/{folder}/{number:09d}.json") for folder in ("pointers", f"staged/{version}"))
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     stream = fs.create(staged, True)
-    stream.write(bytearray(version.encode()))
+    stream.write(bytearray(json.dumps({"number": number, "version": version, "log_end": log_end}).encode()))
     stream.close()
-    fs.delete(target, False)
-    if not fs.rename(staged, target):
+    fs.mkdirs(target.getParent())
+    if fs.exists(target) or not fs.rename(staged, target):
         raise OSError(f"the pointer to {version} couldn't be set")
 
 
-def _write_json(spark: SparkSession, path: str, content: dict) -> str:
+def write_json(spark: SparkSession, path: str, content: dict) -> str:
     """One JSON document as a file, staged beside its place so that no half of it can be read."""
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
@@ -57,12 +77,12 @@ def _write_json(spark: SparkSession, path: str, content: dict) -> str:
 
 def write_run_record(spark: SparkSession, folder: str, record: dict, day: str) -> str:
     """The record of a run (``RUN_SCHEMA``), one file a day; written whether or not anything changed."""
-    return _write_json(spark, f"{folder}/{day}.json", {"date": day} | record)
+    return write_json(spark, f"{folder}/{day}.json", {"date": day} | record)
 
 
 def write_manifest(spark: SparkSession, path: str, manifest: dict) -> str:
     """The whole manifest (``MANIFEST_SCHEMA``), written anew each run."""
-    return _write_json(spark, path, manifest)
+    return write_json(spark, path, manifest)
 
 
 def append_snapshots(index: DataFrame, landed: DataFrame) -> DataFrame:
@@ -82,6 +102,3 @@ def verify_snapshots(before: DataFrame, after: DataFrame, files: DataFrame | Non
         return lost
     altered = after.join(files, keys).filter(F.sha2("content", 256) != F.col("sha256")).select(*keys, F.lit("altered").alias("what"))
     return lost.unionByName(altered)
-
-
-__all__ = ["append_snapshots", "point", "read_pointer", "verify_snapshots", "write_manifest", "write_run_record", "write_version"]

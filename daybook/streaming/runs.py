@@ -18,18 +18,19 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from daybook.operators.legacy import order_captures
 from daybook.operators.merge import CONFIRMATIONS, merge
 from daybook.sinks.archive import write_version
-from daybook.sources.landed import read_archive, read_pointer
+from daybook.sources.landed import read_archive, read_pointers
 from daybook.sources.pages import is_dead_page, parse_legacy, wrong_header
 from daybook.sources.sheet import key_records
 
 
-def apply_run(spark: SparkSession, root: str, observed: DataFrame, files: DataFrame, run: str, confirm_withdrawals: bool = True) -> bool:
+def apply_run(spark: SparkSession, root: str, observed: DataFrame, files: DataFrame, run: str, confirm_withdrawals: bool = True, event_source: str | None = None, capture_timestamp: str | None = None) -> bool:
     """Merges one run (a date, or date.seq) into the archive below ``root``; False where it was applied before."""
-    current = read_pointer(spark, root)
-    if current is not None and current >= run:
+    versions = [p["version"] for p in read_pointers(spark, root)]
+    if versions and versions[-1] >= run:
         return False
-    result = merge(read_archive(spark, root), observed, files, run[:10], confirm_withdrawals)
-    write_version(spark, root, result, run)
+    of_day = 1 + sum(v[:10] == run[:10] for v in versions)
+    result = merge(read_archive(spark, root), observed, files, run[:10], confirm_withdrawals, of_day)
+    write_version(spark, root, result, run, event_source, capture_timestamp)
     return True
 
 

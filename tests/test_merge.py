@@ -3,15 +3,20 @@
 from __future__ import annotations
 
 import datetime as dt
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
 
 from daybook.functions.identity import FIELDS
 from daybook.operators import ladders, legacy, merge
-from daybook.sinks.archive import append_snapshots, verify_snapshots, write_manifest, write_run_record
+from daybook.operators.change_feed import current_state
+from daybook.operators.history import attribute_history
+from daybook.operators.ladders import distinct_events
+from daybook.plans.derive import activity
+from daybook.sinks.archive import append_snapshots, point, verify_snapshots, write_manifest, write_run_record
 from daybook.sources import pages
-from daybook.sources.landed import read_archive, read_changelog, read_manifest, read_runs
+from daybook.sources.landed import read_archive, read_changelog, read_manifest, read_pointer, read_runs
 from daybook.sources.sheet import key_records
 from daybook.streaming.runs import apply_run, replay, replay_captures, stream_absences
 
@@ -139,6 +144,40 @@ def test_archive_on_disk(spark, tmp_path):
     assert read_archive(spark, root).count() == 25 and read_changelog(spark, root).groupBy("change_type").count().filter("change_type = 'missing'").first()[1] == 1
 
 
+def test_the_log_is_one_the_engine_reads(spark, tmp_path):
+    root = str(tmp_path / "archive")
+    changed = [row("NUPD 26-10000", reported="9/1/26 10:00", disposition="Closed", file="g"), *MANY[1:-1]]
+    for day, rows in (("2026-09-20.0001", MANY), ("2026-09-21.0001", changed), ("2026-09-21.0002", MANY)):
+        assert apply_run(spark, root, observe(spark, *rows), files(spark), day)
+    log = read_changelog(spark, root)
+    assert sorted(r.log_pos for r in log.collect()) == list(range(1, log.count() + 1))
+    assert distinct_events(log, "log_pos").count() == log.count()
+    uid = status(read_archive(spark, root), "NUPD 26-10000").incident_uid
+    rows = {r.incident_uid: (r.status, r.revision, r.source_file_id) for r in current_state(log).collect()}
+    assert rows == {r.incident_uid: (r.status, r.revision, r.source_file_id) for r in read_archive(spark, root).collect()} and rows[uid] == ("active", 3, "f")
+    assert [tuple(r)[1:] for r in sorted(attribute_history(log).collect(), key=lambda r: r.valid_from)] == [("2026-09-20", "", "Open")] or attribute_history(log).count() == 0
+    assert tuple(activity(log, "2026-09-19", "2026-09-21").first()) == (25, 1, 0, 0)
+
+
+def test_a_lost_pointer_is_an_error_and_a_half_run_is_not_read(spark, tmp_path):
+    root = str(tmp_path / "archive")
+    apply_run(spark, root, observe(spark, *MANY), files(spark), "2026-09-20.0001")
+    read_archive(spark, root).write.parquet(f"{root}/versions/2026-09-21.0001")
+    assert read_pointer(spark, root) == "2026-09-20.0001"
+    with pytest.raises(OSError):
+        point(spark, root, 1, "other", 0)
+    shutil.rmtree(f"{root}/pointers")
+    with pytest.raises(FileNotFoundError):
+        read_archive(spark, root)
+
+
+def test_the_report_of_a_run(spark, base):
+    _, _, result = run(spark, base, MANY[1:], "2026-09-21")
+    report = merge.merge_report(result, files(spark)).first()
+    assert (report.missing, report.unchanged, report.changed, report.unfetched) == (1, 24, False, []) and report.summary.startswith("+0 added, 0 amended, 1 missing")
+    assert [tuple(w) for w in merge.merge_warnings(result, merge.REPORT_WARNINGS).collect()] == [("f", "1 row(s) absent")]
+
+
 def test_captures_replay_in_time_order_across_months(spark, tmp_path):
     def page(*cases, names=tuple(pages.LEGACY_HEADER)):
         lines = [f"<td>{c}</td><td>1/{c[-1]}/21 10:00</td><td>1/2/21</td><td>Theft</td><td><strong>Main</strong> hall</td><td>{d}</td>" for c, d in cases]

@@ -10,11 +10,11 @@ from collections import Counter
 import duckdb
 import pytest
 
-from daybook.plans import archive_queries, core_queries
+from daybook.plans import archive_queries, core_queries, merge_queries
 
 FOLDER = "/root/testdata/sf0.001"
-SQL = core_queries.oracle_sql() | archive_queries.oracle_sql()
-QUERIES = core_queries.queries() | archive_queries.queries()
+SQL = core_queries.oracle_sql() | archive_queries.oracle_sql() | merge_queries.oracle_sql()
+QUERIES = core_queries.queries() | archive_queries.queries() | merge_queries.queries()
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables here")
 
 
@@ -30,7 +30,7 @@ def plain(value):
     return round(value, 6) if isinstance(value, float) else value
 
 
-@pytest.mark.parametrize("name", ["p4_found", "p6_found", "p7_found", "uid_hash", "content_hash", "categorize", "disposition_flags", "facet_counts", "quality_audit", "merge_full_outer", "duplicate_candidates", "snapshot_append"])
+@pytest.mark.parametrize("name", ["p4_found", "p6_found", "p7_found", "uid_hash", "content_hash", "categorize", "disposition_flags", "facet_counts", "quality_audit", "merge_full_outer", "merge_events", "fork_match_tiers", "duplicate_candidates", "snapshot_append"])
 def test_query_equals_sql(spark, tables, name):
     frame = QUERIES[name](spark, FOLDER)
     columns = sorted(frame.columns)
