@@ -130,6 +130,16 @@ def activity(events: DataFrame, archive_started: str, today: str, days: int = AC
     return pairs.agg(*[F.count_if(F.col("kind") == k).alias(n) for k, n in names.items()])
 
 
+def status_document(archive: DataFrame, events: DataFrame, runs: DataFrame, archive_started: str, today: str, days: int = ACTIVITY_DAYS) -> DataFrame:
+    """The status document, one row of activity (with its window, the runs and the days since the last one) and counts; written by ``write_json``."""
+    day = F.lit(today).cast("date")
+    seen = runs.agg(F.count_if(F.col("date").between(F.date_sub(day, days), day)).alias("runs_in_window"), F.count("*").alias("checked_total"))
+    one = activity(events, archive_started, today, days).withColumns({"window_days": F.lit(days), "since": F.date_format(F.date_sub(day, days), "yyyy-MM-dd"), "until": F.lit(today)})
+    both = one.join(F.broadcast(seen)).join(F.broadcast(staleness_days(runs, today)))  # a row each
+    counts = status_counts(archive)
+    return both.select(F.struct("*").alias("activity")).join(F.broadcast(counts.select(F.struct("*").alias("counts"))))
+
+
 def staleness_days(runs: DataFrame, today: str) -> DataFrame:
     """Days since the last run that wrote an archive."""
     return runs.agg(F.datediff(F.lit(today).cast("date"), F.max(F.when(F.col("archive_rows").isNotNull(), F.col("date")))).alias("staleness_days"))
@@ -159,6 +169,12 @@ def quality_audit(derived: DataFrame, fallback_year: int) -> DataFrame:
     return derived.select("uid", F.inline(rows))
 
 
+def first_of_each_check(audit: DataFrame, most: int = QUALITY_ROWS) -> DataFrame:
+    """The first ``most`` rows of each check by uid, as a page lists them."""
+    nth = F.row_number().over(Window.partitionBy("check").orderBy("uid", "detail"))
+    return audit.withColumn("nth", nth).filter(F.col("nth") <= most).drop("nth")
+
+
 def in_scope(derived: DataFrame, scope: str | None, occurrence: bool) -> DataFrame:
     """Counted rows with a bin, of one school year where ``scope`` names it: adds bin."""
     key, year = ("occurred_month_key", "occurred_school_year") if occurrence else ("month_key", "school_year")

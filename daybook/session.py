@@ -53,12 +53,14 @@ def settings(spark: SparkSession, conf: dict[str, str]) -> Iterator[None]:
 def checkpoint_folder(spark: SparkSession) -> str:
     """The reliable checkpoint folder: that of the context, else the one in ``spark.checkpoint.dir``.
 
-    Only where the cluster names none (tests on one machine) a temporary folder
-    is set.
+    Where none is named a temporary folder is set on one machine (tests); on a
+    cluster that is an error, as its executors don't share such a folder.
     """
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         folder = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not sc.master.split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
         sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="daybook-checkpoint-"))
     return sc.getCheckpointDir()
 

@@ -27,21 +27,48 @@ def listing_entries(page: Column, ids: str = r'id="entry-([^"]+)"', names: str =
     return F.when(wrong, failed).otherwise(zipped)
 
 
+# Named entities and their code points.
+ENTITIES = {
+    "lt": 60, "gt": 62, "quot": 34, "apos": 39, "nbsp": 160, "ndash": 8211, "mdash": 8212, "lsquo": 8216, "rsquo": 8217, "ldquo": 8220, "rdquo": 8221, "bull": 8226, "middot": 183,
+    "hellip": 8230, "deg": 176, "frac12": 189, "frac14": 188, "eacute": 233, "egrave": 232, "agrave": 224, "aacute": 225, "iacute": 237, "oacute": 243, "uacute": 250, "ntilde": 241, "ccedil": 231, "uuml": 252, "ouml": 246, "auml": 228, "copy": 169, "reg": 174, "trade": 8482,
+}
+
+
 def unescape(text: Column) -> Column:
-    for entity, mark in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")):
-        text = F.replace(text, F.lit(entity), F.lit(mark))
-    return text
+    """Entities resolved: the named ones above and numeric ones, once each (``&amp;lt;`` becomes ``&lt;``)."""
+    names = F.create_map(*[F.lit(x) for n, code in [*ENTITIES.items(), ("amp", 38)] for x in (n, code)])
+    # Pieces of text and entities in turn, so that what an entity becomes is not read again.
+    pieces = F.split(F.regexp_replace(text, r"&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,30});", "\u0002$1\u0003"), "\u0002")
+
+    def code(name: Column) -> Column:
+        return F.when(F.startswith(F.lower(name), F.lit("#x")), F.conv(F.substring(name, 3, 6), 16, 10).cast("int")).when(F.startswith(name, F.lit("#")), F.substring(name, 2, 7).try_cast("int")).otherwise(F.try_element_at(names, name))
+
+    def piece(p: Column, i: Column) -> Column:
+        name, rest = F.split_part(p, F.lit("\u0003"), F.lit(1)), F.split_part(p, F.lit("\u0003"), F.lit(2))
+        # "char" knows code points below 256 only; others are decoded from UTF-16.
+        n = code(name)
+        sign = F.when(n < 65_536, F.decode(F.unhex(F.lpad(F.hex(n), 4, "0")), "UTF-16BE"))
+        return F.when((i == 0) | ~F.contains(p, F.lit("\u0003")), p).otherwise(F.concat(F.coalesce(sign, F.concat(F.lit("&"), name, F.lit(";"))), rest))
+
+    resolved = F.array_join(F.transform(pieces, piece), "")
+    return F.when(F.contains(text, F.lit("&")), resolved).otherwise(text)
 
 
 def plain_text(html: Column) -> Column:
     """Text of a cell: tags out, entities resolved, blanks collapsed."""
-    return collapse(unescape(F.regexp_replace(html, r"(?s)<[^>]+>", " ")))
+    return collapse(unescape(F.regexp_replace(html, r"(?s)<[^>]+>", "")))
 
 
-def bullets(html: Column) -> Column:
-    """Text of a cell whose lines become one ``; `` list without empty entries."""
+def lines_of(html: Column) -> Column:
+    """Texts of the lines of a cell without list marks and empty ones."""
     lines = F.split(F.regexp_replace(html, r"(?i)<br\s*/?>", "\u0001"), "\u0001")
-    return F.array_join(F.filter(F.transform(lines, plain_text), lambda x: x != ""), "; ")
+    texts = F.transform(lines, lambda x: F.trim(F.regexp_replace(plain_text(x), r"^[•\-*]\s*", "")))
+    return F.filter(texts, lambda x: x != "")
+
+
+def bullets(html: Column) -> Column:
+    """Text of a cell whose lines become one ``; `` list."""
+    return F.array_join(lines_of(html), "; ")
 
 
 def table_rows(html: Column) -> Column:
@@ -63,40 +90,53 @@ def split_location(cell: Column) -> Column:
 
 
 def split_disposition(cell: Column) -> Column:
-    """struct(text, student_flag) of a disposition cell; the line "Student?: ..." is the flag."""
-    parts = F.filter(F.split(bullets(cell), "; "), lambda x: x != "")
-    label = r"(?i)^student\?\s*:?\s*"
-    flag = F.try_element_at(F.filter(parts, lambda p: p.rlike(label)), F.lit(1))
-    return F.struct(F.array_join(F.filter(parts, lambda p: ~p.rlike(label)), "; ").alias("text"), F.coalesce(F.trim(F.regexp_replace(flag, label, "")), F.lit("")).alias("student_flag"))
+    """struct(text, student_flag) of a disposition cell; the line with a bold "Student?:" is the flag (the last one where there are several)."""
+    label = r"(?is)<strong[^>]*>\s*Student\?:\s*</strong>\s*(.*)$"
+    lines = F.split(F.regexp_replace(cell, r"(?i)<br\s*/?>", "\u0001"), "\u0001")
+    flag = F.try_element_at(F.filter(lines, lambda p: p.rlike(label)), F.lit(-1))
+    kept = F.array_join(F.filter(lines, lambda p: ~p.rlike(label)), "<br>")
+    return F.struct(bullets(kept).alias("text"), F.coalesce(plain_text(F.regexp_extract(flag, label, 1)), F.lit("")).alias("student_flag"))
+
+
+def _header_place(rows: Column) -> Column:
+    """Place (from 1) of the row that begins with the first column's name, 0 where there is none."""
+    return F.array_position(F.transform(rows, lambda r: plain_text(F.try_element_at(r, F.lit(1))) == LEGACY_HEADER[0]), True)
 
 
 def legacy_header(html: Column) -> Column:
-    """The texts of the first row of the table's width; null on a dead page."""
-    return F.transform(F.try_element_at(F.filter(table_rows(html), lambda r: F.size(r) == len(LEGACY_HEADER)), F.lit(1)), plain_text)
+    """The texts of the header row, an empty array where there is none."""
+    rows = table_rows(html)
+    return F.coalesce(F.transform(F.try_element_at(rows, F.nullif(_header_place(rows), F.lit(0)).cast("int")), plain_text), F.array().cast("array<string>"))
 
 
 def wrong_header(html: Column) -> Column:
-    """Whether a page has a table of other columns than the known ones."""
-    return F.coalesce(legacy_header(html) != F.array(*[F.lit(h) for h in LEGACY_HEADER]), F.lit(False))
+    """Whether a page with a table of the known width lacks the known header row."""
+    return ~is_dead_page(html) & (legacy_header(html) != F.array(*[F.lit(h) for h in LEGACY_HEADER]))
 
 
 def parse_legacy(pages: DataFrame, html: str = "html", month: str = "month") -> DataFrame:
     """Records of legacy pages: the verbatim fields, student_flag, source_month and source_era.
 
-    The header row has to be the six known columns; rows of another width or
-    without a case number are passed over.  Dead pages give no rows.
+    The row that begins with the first column's name has to be the six known
+    columns; rows before it, of another width or without a case number are passed over.  Dead pages give no rows.
     """
-    rows = F.filter(table_rows(F.col(html)), lambda r: F.size(r) == len(LEGACY_HEADER))
-    wrong = wrong_header(F.col(html))
-    failed = F.raise_error(F.concat(F.lit("legacy header: "), F.array_join(legacy_header(F.col(html)), "|"))).cast("array<array<string>>")
+    # The rows are worked out once a page, the check of the header with them.
+    pages = pages.withColumn("_rows", table_rows(F.col(html)))
+    rows = F.col("_rows")
+    place = _header_place(rows)
+    header = F.coalesce(F.transform(F.try_element_at(rows, F.nullif(place, F.lit(0)).cast("int")), plain_text), F.array().cast("array<string>"))
+    dead = ~F.exists(rows, lambda r: F.size(r) == len(LEGACY_HEADER))
+    wrong = ~dead & (header != F.array(*[F.lit(h) for h in LEGACY_HEADER]))
+    failed = F.raise_error(F.concat(F.lit("legacy header: "), F.array_join(header, "|"))).cast("array<array<string>>")
     # The header is part of the array that is exploded, so no filter can be moved before its check.
-    body = F.when(wrong, failed).otherwise(F.slice(rows, F.lit(2), F.greatest(F.size(rows) - 1, F.lit(0))))
+    after = F.filter(F.slice(rows, F.greatest(place + 1, F.lit(1)).cast("int"), F.size(rows)), lambda r: F.size(r) == len(LEGACY_HEADER))
+    body = F.when(wrong, failed).when(dead, F.slice(rows, 1, 0)).otherwise(after)
     checked = pages.select(F.col(month).alias("source_month"), F.posexplode(body).alias("place", "cells"))
     c = lambda k: F.col("cells")[k]
-    one_line = lambda k: collapse(F.replace(bullets(c(k)), F.lit("; "), F.lit(" ")))
+    one_line = lambda k: F.array_join(lines_of(c(k)), " ")
     where, outcome = split_location(c(4)), split_disposition(c(5))
     out = checked.select(
-        bullets(c(0)).alias("case_number_raw"), one_line(1).alias("date_reported_raw"), one_line(2).alias("date_occurred_raw"), bullets(c(3)).alias("nature_raw"), F.lit("").alias("narrative_raw"),
+        plain_text(c(0)).alias("case_number_raw"), one_line(1).alias("date_reported_raw"), one_line(2).alias("date_occurred_raw"), bullets(c(3)).alias("nature_raw"), F.lit("").alias("narrative_raw"),
         where["campus"].alias("campus_raw"), where["location"].alias("location_raw"), outcome["text"].alias("disposition_raw"), outcome["student_flag"].alias("student_flag"), "source_month",
         F.lit("legacy-page").alias("source_era"), (F.col("place") + 1).alias("source_row_index"),
     )

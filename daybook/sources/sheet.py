@@ -8,6 +8,7 @@ folder of sheets as a table.
 from __future__ import annotations
 
 import csv
+import datetime as dt
 import io
 import re
 import zipfile
@@ -15,6 +16,7 @@ from collections.abc import Iterator
 from pathlib import Path
 
 import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -82,36 +84,40 @@ def sheet_rows(data: bytes, name: str = "") -> tuple[str, list[tuple[int, list[s
     return month[1] if month else "", out
 
 
-_RAW = "source_file_id string, source_month string, source_row_index int, " + ", ".join(f"{f} string" for f in FIELDS) + ", error string"
+_RAW = "source_file_id string, snapshot_date date, snapshot_seq int, source_month string, source_row_index int, " + ", ".join(f"{f} string" for f in FIELDS) + ", error string"
 
 
 def parse_sheets(files: DataFrame) -> DataFrame:
     """Rows of the sheets in ``files`` (source_file_id, content): verbatim fields, month and row number.
 
-    A sheet that can't be read gives one row with ``error`` set and no fields.
+    ``snapshot_date`` and ``snapshot_seq`` are carried where ``files`` has them,
+    else null.  A sheet that can't be read gives one row with ``error`` set and
+    no fields.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["source_file_id", "source_month", "source_row_index", *FIELDS, "error"]
-        types = [pa.string(), pa.string(), pa.int32(), *[pa.string()] * len(FIELDS), pa.string()]
+        names = ["source_file_id", "snapshot_date", "snapshot_seq", "source_month", "source_row_index", *FIELDS, "error"]
+        types = [pa.string(), pa.date32(), pa.int32(), pa.string(), pa.int32(), *[pa.string()] * len(FIELDS), pa.string()]
         for batch in batches:
             rows = []
-            for file_id, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for *of, content in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
                 try:
-                    month, found = sheet_rows(content or b"", file_id or "")
-                    rows += [(file_id, month, number, *values, None) for number, values in found]
+                    month, found = sheet_rows(content or b"", of[0] or "")
+                    rows += [(*of, month, number, *values, None) for number, values in found]
                 except (SheetError, csv.Error) as e:
-                    rows.append((file_id, None, None, *[None] * len(FIELDS), str(e)))
+                    rows.append((*of, None, None, *[None] * len(FIELDS), str(e)))
             columns = list(zip(*rows, strict=True)) or [[]] * len(names)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
 
-    return files.select("source_file_id", "content").mapInArrow(run, _RAW)
+    carried = [(F.col(c) if c in files.columns else F.lit(None)).cast(t).alias(c) for c, t in (("snapshot_date", "date"), ("snapshot_seq", "int"))]
+    return files.select("source_file_id", *carried, "content").mapInArrow(run, _RAW)
 
 
 def flag_near_duplicates(records: DataFrame, file: str = "source_file_id") -> DataFrame:
-    """``records`` with flags: near_duplicate where another row of the file has the same case number and differs in dates at most."""
+    """``records`` with flags: near_duplicate where another row of the file (and snapshot) has the same case number and differs in dates at most."""
     same = [c for c in FIELDS if c not in ("date_reported_raw", "date_occurred_raw", "case_number_raw")]
-    group = Window.partitionBy(file, normalize_case_number(F.col("case_number_raw")), F.col("case_number_raw"), *same)
+    snapshot = [c for c in ("snapshot_date", "snapshot_seq") if c in records.columns]
+    group = Window.partitionBy(file, *snapshot, normalize_case_number(F.col("case_number_raw")), F.col("case_number_raw"), *same)
     return records.withColumn("flags", F.when(F.count("*").over(group) > 1, "near_duplicate").otherwise(""))
 
 
@@ -122,11 +128,24 @@ def key_records(rows: DataFrame) -> DataFrame:
     return flag_near_duplicates(keyed)
 
 
+def snapshot_of(path: Column) -> Column:
+    """struct(source_file_id, snapshot_date, snapshot_seq) of a landed file's path.
+
+    Snapshots lie as ``<file id>/<date>.csv``, a second one of a day as
+    ``<date>.2.csv``.  A file of another name is a sheet by itself: its name is
+    its id, and it has no date.
+    """
+    dated = r"([^/]+)/(\d{4}-\d{2}-\d{2})(?:\.(\d+))?\.csv$"
+    is_dated = path.rlike(dated)
+    file_id = F.url_decode(F.replace(F.when(is_dated, F.regexp_extract(path, dated, 1)).otherwise(F.regexp_extract(path, r"([^/]+?)(?:\.csv)?$", 1)), F.lit("+"), F.lit("%2B")))
+    number = F.coalesce(F.nullif(F.regexp_extract(path, dated, 3), F.lit("")).cast("int"), F.lit(1))
+    return F.struct(file_id.alias("source_file_id"), F.when(is_dated, F.regexp_extract(path, dated, 2)).try_cast("date").alias("snapshot_date"), F.when(is_dated, number).alias("snapshot_seq"))
+
+
 def read_sheets(spark: SparkSession, path: str) -> DataFrame:
-    """Keyed records of all sheets below ``path``; a file's id is its folder's or its own name."""
+    """Keyed records of all sheets below ``path``, a folder on any storage of the cluster, with file id and snapshot."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv").load(path)
-    file_id = F.regexp_extract("path", r"([^/]+?)(?:\.csv)?$", 1)
-    return key_records(parse_sheets(files.select(file_id.alias("source_file_id"), "content")))
+    return key_records(parse_sheets(files.select(snapshot_of(F.col("path")).alias("s"), "content").select("s.*", "content")))
 
 
 def tab_names(archive: bytes) -> list[str]:
@@ -157,18 +176,30 @@ class _SheetPart(InputPartition):
         self.path = path
 
 
+def _storage(path: str) -> tuple[pafs.FileSystem, str]:
+    """The file system of a path and the path on it; a plain path is local."""
+    return pafs.FileSystem.from_uri(path) if "://" in path else (pafs.LocalFileSystem(), path)
+
+
 class _SheetReader(DataSourceReader):
     def __init__(self, folder: str):
         self.folder = folder
 
     def partitions(self) -> list[InputPartition]:
-        return [_SheetPart(str(p)) for p in sorted(Path(self.folder).rglob("*.csv"))]
+        storage, root = _storage(self.folder)
+        found = storage.get_file_info(pafs.FileSelector(root, recursive=True))
+        return [_SheetPart(f.path) for f in sorted(found, key=lambda f: f.path) if f.is_file and f.path.endswith(".csv")]
 
     def read(self, partition: InputPartition) -> Iterator[tuple]:
-        path = Path(partition.path)
-        month, rows = sheet_rows(path.read_bytes(), path.name)
+        storage, _ = _storage(self.folder)
+        with storage.open_input_stream(partition.path) as stream:
+            data = stream.read()
+        *_, folder, name = f"//{partition.path}".split("/")
+        dated = re.fullmatch(r"(\d{4}-\d{2}-\d{2})(?:\.(\d+))?\.csv", name)
+        of = (folder, dt.date.fromisoformat(dated[1]), int(dated[2] or 1)) if dated else (name.removesuffix(".csv"), None, None)
+        month, rows = sheet_rows(data, name)
         for number, values in rows:
-            yield (path.stem, month, number, *values)
+            yield (*of, month, number, *values)
 
 
 class MonthlySheetSource(DataSource):

@@ -7,6 +7,7 @@ version is named after it.  The absence ladder alone also comes as keyed state.
 
 from __future__ import annotations
 
+import datetime as dt
 import re
 from collections.abc import Callable, Iterator
 
@@ -15,8 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from daybook.operators.legacy import order_captures
 from daybook.operators.merge import CONFIRMATIONS, merge
+from daybook.session import bounded_rows
 from daybook.sinks.archive import write_version
 from daybook.sources.landed import read_archive, read_pointers
 from daybook.sources.pages import is_dead_page, parse_legacy, wrong_header
@@ -40,7 +41,8 @@ def replay(spark: SparkSession, root: str, snapshots: DataFrame, files_of: Calla
     ``snapshots`` has the columns of an observation and snapshot_date and
     snapshot_seq; ``files_of`` gives the file table of one run's observations.
     """
-    runs = [(r["snapshot_date"], r["snapshot_seq"]) for r in snapshots.select("snapshot_date", "snapshot_seq").distinct().orderBy("snapshot_date", "snapshot_seq").collect()]
+    listed = snapshots.select("snapshot_date", "snapshot_seq").distinct().orderBy("snapshot_date", "snapshot_seq")
+    runs = [(r["snapshot_date"], r["snapshot_seq"]) for r in bounded_rows(listed, CAPTURE_BOUND, "the list of snapshots")]
     applied = []
     for day, seq in runs:
         name = f"{day:%Y-%m-%d}.{seq:04d}"
@@ -50,6 +52,10 @@ def replay(spark: SparkSession, root: str, snapshots: DataFrame, files_of: Calla
     return applied
 
 
+#: Most captures of a replay, and most snapshots (their names are listed on the driver, each is a run).
+CAPTURE_BOUND = 200_000
+
+
 def replay_captures(spark: SparkSession, root: str, captures: DataFrame) -> dict[str, int]:
     """Merges captures of legacy pages in the order of time across months; returns how many came to what.
 
@@ -64,7 +70,7 @@ def replay_captures(spark: SparkSession, root: str, captures: DataFrame) -> dict
     outcome = F.when(html.isNull(), "failed").when(is_dead_page(html), "dead").when(wrong_header(html), "failed").otherwise("used")
     came = once.select("month", "stamp", outcome.alias("outcome"))
     counts = {"used": 0, "dead": 0, "failed": 0, "empty": 0}
-    for c in order_captures(once).join(came, ["month", "stamp"]).orderBy("position").collect():
+    for c in bounded_rows(came.orderBy("stamp", "month"), CAPTURE_BOUND, "the list of captures"):
         kind = c["outcome"]
         if kind == "used":
             one = once.filter((F.col("month") == c["month"]) & (F.col("stamp") == c["stamp"]))
@@ -75,7 +81,7 @@ def replay_captures(spark: SparkSession, root: str, captures: DataFrame) -> dict
                 files = spark.createDataFrame([(f"wayback:{c['month']}", True, f"cleryapp {c['month']}", c["month"], False, False)], "source_file_id string, fetched boolean, name string, month string, removed boolean, repurposed boolean")
                 stamp = c["stamp"]
                 run = f"{stamp[:4]}-{stamp[4:6]}-{stamp[6:8]}.{stamp[8:]}.{re.sub(r'[^0-9A-Za-z]+', '_', c['month'])}"
-                apply_run(spark, root, key_records(placed), files, run, confirm_withdrawals=False)
+                apply_run(spark, root, key_records(placed), files, run, confirm_withdrawals=False, event_source="wayback", capture_timestamp=stamp)
         counts[kind] += 1
     return counts
 
@@ -89,27 +95,36 @@ def stream_runs(snapshots: DataFrame, root: str, files_of: Callable[[DataFrame],
     return snapshots.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True)
 
 
-LADDER = "uid string, day string, status string, confirmations int"
+EPOCH = dt.date(1970, 1, 1)
+LADDER = "uid string, day date, status string, confirmations int"
 
 
-def stream_absences(observations: DataFrame) -> DataFrame:
+def stream_absences(observations: DataFrame, delay: str = "30 days") -> DataFrame:
     """Status of each uid after each observed day: uid, day, status, confirmations.
 
-    ``observations`` is a stream of uid, day (yyyy-MM-dd) and present.  A day
-    counts once, present if any row says so; days already passed are ignored.
+    ``observations`` is a stream of uid, day (date) and present.  A day counts
+    once, present if any row says so.  Days are held as state until the
+    watermark (the newest day less ``delay``) has passed them, and then counted
+    in their order; so a day that arrives late counts in its place, and the
+    result is that of :func:`daybook.operators.ladders.absence_runs`.  Only
+    what comes later than ``delay`` is left out, by the watermark.
     """
+    timed = observations.select("uid", F.timestamp_seconds(F.unix_date("day").cast("long") * 86_400).alias("at"), F.unix_date("day").alias("nth"), F.coalesce("present", F.lit(False)).alias("present")).withWatermark("at", delay)
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        count, last = state.get if state.exists else (0, "")
-        rows = pd.concat(list(batches)).groupby("day")["present"].max().sort_index()
-        out = []
-        for day, present in rows.items():
-            if day <= last:
-                continue
-            count, last = (0 if present else count + 1), day
-            status = "active" if present else "withdrawn" if count >= CONFIRMATIONS else "missing"
-            out.append((key[0], day, status, count))
-        state.update((count, last))
+        count, days, shown = state.get if state.exists else (0, [], [])
+        held = dict(zip(days, shown, strict=True))
+        for pdf in batches:
+            for day, present in zip(pdf["nth"].tolist(), pdf["present"], strict=True):
+                held[day] = held.get(day, False) or bool(present)
+        passed, out = state.getCurrentWatermarkMs() // 86_400_000, []
+        for day in sorted(d for d in held if d < passed):
+            count = 0 if held.pop(day) else count + 1
+            out.append((key[0], EPOCH + dt.timedelta(days=day), "active" if not count else "withdrawn" if count >= CONFIRMATIONS else "missing", count))
+        ordered = sorted(held)
+        state.update((count, ordered, [held[d] for d in ordered]))
+        if ordered:
+            state.setTimeoutTimestamp(max((ordered[0] + 1) * 86_400_000, state.getCurrentWatermarkMs() + 1))
         yield pd.DataFrame(out, columns=["uid", "day", "status", "confirmations"])
 
-    return observations.groupBy("uid").applyInPandasWithState(step, LADDER, "count int, last string", "append", GroupStateTimeout.NoTimeout)
+    return timed.groupBy("uid").applyInPandasWithState(step, LADDER, "count int, days array<int>, shown array<boolean>", "append", GroupStateTimeout.EventTimeTimeout)

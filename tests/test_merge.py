@@ -194,7 +194,7 @@ def test_captures_replay_in_time_order_across_months(spark, tmp_path):
         ("April 2021", "20260102000000", page()),
     ]
     table = spark.createDataFrame(captures, "month string, stamp string, html string")
-    assert [(r.month, r.stamp[:4]) for r in legacy.order_captures(table.limit(4).distinct()).orderBy("position").collect()] == [("January 2021", "2021"), ("April 2021", "2022"), ("January 2021", "2023")]
+    assert [(r.month, r.stamp[:4]) for r in legacy.order_captures(table.limit(4).distinct()).collect()] == [("January 2021", "2021"), ("April 2021", "2022"), ("January 2021", "2023")]
     root = str(tmp_path)
     for _ in range(2):
         assert replay_captures(spark, root, table) == {"used": 3, "dead": 1, "failed": 2, "empty": 1}
@@ -214,16 +214,24 @@ def test_run_records_and_manifest_are_written(spark, tmp_path):
     assert found.first().name == "é" and [s.bytes for s in snapshots.collect()] == [4]
 
 
-def test_ladder_as_stream(spark, tmp_path):
+def test_ladder_as_stream_agrees_with_the_batch_whatever_comes_late(spark, tmp_path):
+    schema = "uid string, day date, present boolean"
+    day = lambda n: dt.date(2026, 9, n)
+    first = [("a", day(1), True), ("a", day(2), False), ("a", day(4), False), ("a", day(5), False), ("b", day(1), False), ("b", day(5), True), ("c", day(2), False), ("c", day(2), True)]
+    late = [("a", day(3), True), ("b", day(2), False), ("b", day(3), False), ("b", day(3), False)]
+    last = [("z", dt.date(2026, 10, 20), True)]
     source = str(tmp_path / "in")
-    rows = [("a", "2026-09-01", True), ("a", "2026-09-02", False), ("a", "2026-09-03", False), ("a", "2026-09-04", False), ("b", "2026-09-01", False), ("b", "2026-09-02", True)]
-    spark.createDataFrame(rows, "uid string, day string, present boolean").write.parquet(source)
-    stream = stream_absences(spark.readStream.schema("uid string, day string, present boolean").parquet(source))
-    query = stream.writeStream.format("memory").queryName("ladder").outputMode("append").option("checkpointLocation", str(tmp_path / "cp")).start()
-    query.processAllAvailable()
-    query.stop()
-    got = {(r.uid, r.day): (r.status, r.confirmations) for r in spark.table("ladder").collect()}
-    assert got["a", "2026-09-03"] == ("missing", 2) and got["a", "2026-09-04"] == ("withdrawn", 3) and got["b", "2026-09-02"] == ("active", 0)
+    for rows in (first, late, last, last):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
+        stream = stream_absences(spark.readStream.schema(schema).parquet(source), "10 days")
+        query = stream.writeStream.format("parquet").outputMode("append").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
+        query.awaitTermination()
+    got = {(r.uid, r.day): (r.status, r.confirmations) for r in spark.read.parquet(str(tmp_path / "out")).filter("uid <> 'z'").collect()}
+    assert got["a", day(3)] == ("active", 0) and got["a", day(5)] == ("missing", 2) and got["b", day(3)] == ("withdrawn", 3) and got["c", day(2)] == ("active", 0)
+    runs = ladders.absence_runs(spark.createDataFrame(first + late, schema), "uid", "day", "present").collect()
+    for r in runs:
+        assert got[r.uid, r.until][1] == r.confirmations
+    assert {k for k, v in got.items() if v[1]} >= {(r.uid, r.until) for r in runs} and len(got) == 10
 
 
 def test_file_ladders(spark):
@@ -246,8 +254,14 @@ def test_snapshot_index(spark):
 
 def test_legacy_reconciliation(spark):
     def old(uid, case, reported, nature="Theft"):
-        return (uid, case, reported, nature, "hall", "January 2021", "active")
+        return (uid, case, reported, nature, "hall", "January 2021", "active", "legacy-page")
 
-    archive = spark.createDataFrame([old("a", "21-12345", "1/2/21"), old("b", "21-12345/ CSA 1", "1/2/21 10:00"), old("c", "21-99999", "1/2/21"), old("d", "21-99998", "1/2/21"), old("e", "21-99998 ", "1/02/2021", "theft")], "incident_uid string, case_number_raw string, date_reported_raw string, nature_raw string, location_raw string, source_month string, status string")
+    archive = spark.createDataFrame([old("g", "21-1234567", "5/2/21"), old("h", "21-123456", "5/2/21"), old("i", "gpd 25-034057", "3/2/21"), old("j", "GPD 25-034057/ CSA 88071", "3/02/21"), *[old(f"x{k}", f"NUPD 20-{k:05d}", "", "") for k in range(300)], old("a", "21-12345", "1/2/21"), old("b", "21-12345/ CSA 1", "1/2/21 10:00"), old("c", "21-99999", "1/2/21"), old("d", "21-99998", "1/2/21"), old("e", "21-99998 ", "1/02/2021", "theft")], "incident_uid string, case_number_raw string, date_reported_raw string, nature_raw string, location_raw string, source_month string, status string, source_era string")
     assert [tuple(r) for r in legacy.reconcile_extended(archive).collect() if r.incident_uid == "a"] == [("a", "b")]
-    assert {r.incident_uid: r.with_n for r in legacy.duplicate_candidates(archive).collect()} == {"d": 1, "e": 1}
+    assert {r.incident_uid: r.with_n for r in legacy.duplicate_candidates(archive).collect()} == {"d": 1, "e": 1, "g": 1, "h": 1, "i": 1, "j": 1}
+    more = archive.withColumns({"last_verified": F.lit("2026-09-01").cast("date"), "superseded_by": F.lit(None).cast("string"), "flags": F.lit("absent_in_later_capture;was_missing")})
+    rows, events = legacy.apply_reconciliation(more)
+    assert [(r.incident_uid, r.superseded_by, r.flags) for r in rows.filter("status = 'superseded'").collect()] == [("a", "b", "superseded_identity;was_missing")]
+    assert [(e.incident_uid, e.event_source, e.new_value) for e in events.collect()] == [("a", "reconciliation", "21-12345/ CSA 1")]
+    assert legacy.reconcile_extended(archive.withColumn("source_era", F.lit("sheet-2026"))).collect() == []
+    assert legacy.flag_duplicate_candidates(more).filter("flags LIKE '%possible_duplicate%'").count() == 6

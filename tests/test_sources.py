@@ -27,6 +27,14 @@ def test_sheet(spark, tmp_path):
     (tmp_path / "a.csv").write_bytes(SHEET.encode())
     sheet.register(spark)
     assert spark.read.format("monthly_sheet").load(str(tmp_path)).count() == 3 and sheet.read_sheets(spark, str(tmp_path)).count() == 3
+    for folder, name in (("1aB", "2026-10-01.csv"), ("1aB", "2026-10-01.2.csv"), ("2c D+", "2026-10-02.csv")):
+        (tmp_path / "raw" / folder).mkdir(parents=True, exist_ok=True)
+        (tmp_path / "raw" / folder / name).write_bytes(SHEET.encode())
+    (tmp_path / "raw" / "1aB" / "2026-10-01.headers.json").write_text("{}")
+    expected = {("1aB", "2026-10-01", 1), ("1aB", "2026-10-01", 2), ("2c D+", "2026-10-02", 1)}
+    for found in (spark.read.format("monthly_sheet").load(str(tmp_path / "raw")), spark.read.format("monthly_sheet").load(f"file://{tmp_path}/raw"), sheet.read_sheets(spark, str(tmp_path / "raw"))):
+        assert found.count() == 9 and {(r.source_file_id, str(r.snapshot_date), r.snapshot_seq) for r in found.collect()} == expected
+    assert {r.flags for r in found.filter("source_row_index < 6").collect()} == {"near_duplicate"}
 
 
 def test_renamed_column():
@@ -65,14 +73,14 @@ def test_listing(spark):
 
 
 LEGACY = "<table><tr>" + "".join(f"<th>{h}</th>" for h in pages.LEGACY_HEADER) + "</tr>{}</table>"
-CELLS = "<tr><td>NUPD 21-1<br/>CSA 2</td><td>1/2/21<br>10:00</td><td>Unknown</td><td>Theft<br />Bicycle</td><td><strong>Main</strong><br/>hall &amp; yard</td><td>Open<br/>Student?: Yes</td></tr>"
+CELLS = "<tr><td>NUPD 21-1<br/>CSA 2</td><td>1/2/21<br>10:00</td><td>Unknown</td><td>• Theft<br />-Bicycle<br>* </td><td><strong>Main</strong><br/>• ha<b>ll</b> &amp;amp; yard&#8211;&#x2013;&eacute;&nbsp;&unknown; x</td><td>• Open<br/><strong>Student?: </strong> Yes<br>Student?: no</td></tr>"
 
 
 def test_legacy_pages(spark):
-    html = LEGACY.format(CELLS + "<tr><td>too</td><td>short</td></tr><tr>" + "<td></td>" * 6 + "</tr>")
+    html = LEGACY.replace("<tr>", "<tr>" + "<td>before</td>" * 6 + "</tr><tr>", 1).format(CELLS + "<tr><td>too</td><td>short</td></tr><tr>" + "<td></td>" * 6 + "</tr>")
     page = spark.createDataFrame([("January 2021", html), ("dead", "<p>gone</p>"), ("none", None)], "month string, html string")
     [r] = pages.parse_legacy(page).collect()
-    assert (r.case_number_raw, r.date_reported_raw, r.nature_raw, r.campus_raw, r.location_raw, r.disposition_raw, r.student_flag) == ("NUPD 21-1; CSA 2", "1/2/21 10:00", "Theft; Bicycle", "Main", "hall & yard", "Open", "Yes")
+    assert (r.case_number_raw, r.date_reported_raw, r.nature_raw, r.campus_raw, r.location_raw, r.disposition_raw, r.student_flag) == ("NUPD 21-1CSA 2", "1/2/21 10:00", "Theft; Bicycle", "Main", "hall &amp; yard––é &unknown; x", "Open; Student?: no", "Yes")
     assert [x[0] for x in page.select(pages.is_dead_page(F.col("html"))).collect()] == [False, True, True]
     with pytest.raises(Exception, match="legacy header"):
         pages.parse_legacy(spark.createDataFrame([("m", html.replace("Nature", "Kind"))], "month string, html string")).collect()
