@@ -31,6 +31,8 @@ FAN_IN = 64
 SOURCE_BOUND = 100_000
 #: Documents sorted by size at a time within a task.
 BLOCK = 20_000
+#: A document of more than this share of all smaller ones of its block is too large to be paired with a single other.
+LARGE_SHARE = 0.002
 _EDGE = 1e-9
 
 
@@ -80,23 +82,26 @@ def round_fractions(items: list[tuple], seed: int) -> tuple[list[tuple], tuple |
     return settled, held
 
 
-def round_pool(items: list[tuple], seed: int) -> tuple[list[tuple], tuple | None]:
+def round_pool(items: list[tuple], seed: int, large: float = LARGE_SHARE) -> tuple[list[tuple], tuple | None]:
     """Like :func:`round_fractions` for items that all have one fraction, largest first.
 
-    Each item meets the pool of all later ones, whose common fraction takes up
-    the mass it gives or takes; so large items are settled while there is
-    enough to make up for them, and what is left over is small unless large
-    items make up nearly all of the source.
+    Items are paired one to one, each with the next smaller one.  Only an item
+    that outweighs ``large`` of all smaller ones together would then be left
+    for the end, as no single other can make up for it; it meets the pool of all
+    smaller ones instead, whose common fraction takes up the mass it gives or
+    takes.
     """
     settled, q = [], items[0][2] if items else 0.0
     rest = sum(x[1] for x in items)
     for k, (i, s, _) in enumerate(items):
         rest -= s
-        if q in (0.0, 1.0) or k == len(items) - 1:
-            if q in (0.0, 1.0):
-                settled += [(x[0], int(q)) for x in items[k:]]
-                return settled, None
+        if q in (0.0, 1.0):
+            return settled + [(x[0], int(q)) for x in items[k:]], None
+        if k == len(items) - 1:
             return settled, (i, s, q)
+        if s <= large * rest:
+            paired, left = round_fractions([(x[0], x[1], q) for x in items[k:]], seed)
+            return settled + paired, left
         (_, _, p), (_, _, q) = pivot((i, s, q), (f"{i}+", rest, q), seed)
         if p in (0.0, 1.0):
             settled.append((i, int(p)))
@@ -187,17 +192,19 @@ def mix_plan(sized: DataFrame, targets: DataFrame, total: float | None = None) -
     that would need more than max_repeats copies of its documents sets it.  A
     larger ``total`` is brought down to that size.  A wanted source without any
     token can't be reached at whatever size; it doesn't count for the size, and
-    the other sources keep their proportions.
+    the other sources keep their proportions.  A source with a target or a cap
+    of 0 has a row with 0 copies.
     """
-    want = targets.select(source_key(F.col("source")).alias("source"), F.col("target_share").cast("double"), F.col("max_repeats").cast("int")).filter("source IS NOT NULL AND target_share > 0 AND max_repeats > 0")
+    want = targets.select(source_key(F.col("source")).alias("source"), F.col("target_share").cast("double"), F.col("max_repeats").cast("int")).filter("source IS NOT NULL").fillna(0, ["target_share", "max_repeats"])
     want = want.groupBy("source").agg(F.sum("target_share").alias("target_share"), F.max("max_repeats").alias("max_repeats"))
     have = sized.groupBy("source").agg(F.sum("size").alias("available"))
     plan = want.join(have, "source", "left").fillna(0, ["available"])
-    room = F.min(F.when(F.col("available") > 0, F.col("available") * F.col("max_repeats") / F.col("target_share")))
+    wanted = (F.col("available") > 0) & (F.col("target_share") > 0) & (F.col("max_repeats") > 0)
+    room = F.min(F.when(wanted, F.col("available") * F.col("max_repeats") / F.col("target_share")))
     plan = plan.withColumn("room", room.over(Window.partitionBy()))  # a row a source
     size = F.col("room") if total is None else F.least(F.col("room"), F.lit(float(total)))
-    copies = F.when(F.col("available") > 0, F.least(F.col("max_repeats").cast("double"), F.col("target_share") * size / F.col("available"))).otherwise(0.0)
-    return plan.select("source", "target_share", "max_repeats", "available", (F.col("target_share") * size).alias("wanted"), copies.alias("copies"))
+    copies = F.when(wanted, F.least(F.col("max_repeats").cast("double"), F.col("target_share") * size / F.col("available"))).otherwise(0.0)
+    return plan.select("source", "target_share", "max_repeats", "available", F.coalesce(F.col("target_share") * size, F.lit(0.0)).alias("wanted"), copies.alias("copies"))
 
 
 def mix_documents(documents: DataFrame, targets: DataFrame, path: str | None = None, total: float | None = None, seed: int = 17) -> tuple[DataFrame, DataFrame]:

@@ -6,9 +6,9 @@ likelihood.  Words are weighed by a document's word counts, whole texts are
 read, and a document's language is told by its function words, whatever the
 labels.
 
-The models are a table of word counts; its size is bounded by the vocabulary
-kept (words of at least ``least_documents`` labelled documents, the most
-frequent ``vocabulary`` of them).  Scoring needs no shuffle.
+The models are a table of the counts of every word of the labelled documents
+used; how many of those are used at most is a parameter, and the size of the
+table is checked before it is sent to the tasks.  Scoring needs no shuffle.
 """
 
 from __future__ import annotations
@@ -23,11 +23,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from daybook.session import bounded_rows
+
 BANDS = (1, 2, 3, 4, 5)
-#: Documented bounds of training: labelled documents (the smallest hashes of their ids) and words kept.
+#: Documented bound of training: labelled documents (the smallest hashes of their ids).
 SAMPLE = 100_000
-VOCABULARY = 50_000
-LEAST_DOCUMENTS = 2
+#: Most different words of a model that can be sent to every task; with more, training stops and asks for a smaller sample.
+MODEL_BOUND = 2_000_000
 #: Dirichlet smoothing: weight of the overall word shares within a band's own counts.
 SMOOTHING = 50.0
 #: Least part of a document's words that are English function words for it to count as English, and least words.
@@ -72,18 +74,18 @@ def settled_labels(labels: DataFrame, doc_id: str = "doc_id", band: str = "grade
     return good.groupBy("doc_id").agg(F.floor(F.percentile("band", F.lit(0.5))).cast("int").alias("band"))
 
 
-def train_models(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE, vocabulary: int = VOCABULARY, least_documents: int = LEAST_DOCUMENTS, smoothing: float = SMOOTHING) -> dict:
+def train_models(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE, smoothing: float = SMOOTHING) -> dict:
     """The models: words with their log probability in each band, log priors, and the log probability of an unknown word.
 
-    At most ``sample`` labelled documents and ``vocabulary`` words are used, so
-    what reaches the driver and every worker is bounded by these parameters.
+    At most ``sample`` labelled documents are used, with all their words.  Raises
+    ``ValueError`` where these are more than a task could hold.
     """
     chosen = settled_labels(labels).withColumn("_at", F.xxhash64("doc_id")).orderBy("_at", "doc_id").limit(sample).drop("_at")
     picked = documents.select(F.col("doc_id"), F.make_valid_utf8(F.col("text").cast("string")).alias("text")).filter("text IS NOT NULL")
     labelled = picked.join(F.broadcast(chosen), "doc_id").select("band", "text")  # at most ``sample`` rows of two numbers
     counted = labelled.mapInArrow(_counts, "band int, word string, n bigint")
-    by_word = counted.groupBy("word").agg(F.count("*").alias("documents"), F.sum("n").alias("total"), *[F.sum(F.when(F.col("band") == b, F.col("n")).otherwise(0)).alias(f"n{b}") for b in BANDS])
-    kept = by_word.filter(F.col("documents") >= least_documents).orderBy(F.desc("total"), "word").limit(vocabulary).collect()
+    by_word = counted.groupBy("word").agg(F.sum("n").alias("total"), *[F.sum(F.when(F.col("band") == b, F.col("n")).otherwise(0)).alias(f"n{b}") for b in BANDS])
+    kept = bounded_rows(by_word, MODEL_BOUND, "the words of the labelled documents")
     sizes = [sum(r[f"n{b}"] for r in kept) for b in BANDS]
     everything = sum(sizes) or 1
     table = {}

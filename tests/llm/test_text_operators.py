@@ -59,6 +59,17 @@ def test_rounding_keeps_size_and_whole_numbers(seed):
         assert len(settled) + bool(left) == 300 and {x for _, x in settled} <= {0, 1}
 
 
+def test_without_pairing_the_size_is_missed():
+    rng = random.Random(9)
+    items = sorted(((k, rng.lognormvariate(5, 1.2), 0.37) for k in range(3000)), key=lambda x: -x[1])
+    size = {k: s for k, s, _ in items}
+    wanted = 0.37 * sum(size.values())
+    off = lambda picked: abs(sum(size[k] for k, x in picked if x) - wanted) / wanted
+    paired = max(off(mixing.round_pool(items, seed)[0]) for seed in range(10))
+    alone = max(off([(k, random.Random(f"{seed}|{k}").random() < 0.37) for k in size]) for seed in range(10))
+    assert paired < 0.002 < alone
+
+
 def test_expected_fractions_are_kept():
     items = [(k, float(1 + k % 3), 0.3) for k in range(12)]
     hits = np.zeros(12)
@@ -75,14 +86,14 @@ def test_mix_reaches_its_shares(spark):
     rng = random.Random(5)
     names = ["big", "Big ", "BIG", "small-one", "small_one", None, "unwanted"]
     rows = [(k, "word " * rng.randint(1, 60), rng.choice(["big"] * 10 + names), "", "") for k in range(1500)] + [(9000, None, "big", "", ""), (9001, "", "big", "", ""), (1, "word", "big", "", "")]
-    targets = spark.createDataFrame([("big", 0.7, 1), ("Small One", 0.2, 3), ("absent", 0.1, 2)], "source string, target_share double, max_repeats int")
+    targets = spark.createDataFrame([("big", 0.7, 1), ("Small One", 0.2, 3), ("absent", 0.1, 2), ("unwanted", 0.0, 2), ("never", None, None)], "source string, target_share double, max_repeats int")
     mix, report = mixing.mix_documents(spark.createDataFrame(rows, DOCS), targets)
     got = mix.collect()
     assert len(got) == len(rows)
     most = {"big": 1, "small_one": 3}
     assert all(0 <= r.copies <= most.get(r.source, 0) for r in got) and all(r.copies == 0 for r in got if r.n_tokens == 0)
     shares = {r.source: r.reached_share for r in report.collect()}
-    assert shares["absent"] == 0 and shares["big"] == pytest.approx(7 / 9, abs=0.01) and shares["small_one"] == pytest.approx(2 / 9, abs=0.01)
+    assert shares["absent"] == shares["unwanted"] == shares["never"] == 0 and shares["big"] == pytest.approx(7 / 9, abs=0.01) and shares["small_one"] == pytest.approx(2 / 9, abs=0.01)
     again = mixing.mix_documents(spark.createDataFrame(rows, DOCS), targets)[0].collect()
     assert sorted(map(tuple, again), key=str) == sorted(map(tuple, got), key=str)
 
@@ -156,6 +167,7 @@ def test_language_and_odd_texts(spark):
     rows = [(1, None, "", "", ""), (2, "", "", "", ""), (3, " \n ", "", "", ""), (4, "la conductora encontró una cámara junto al río", "", "", ""), (5, "the dog ran", "", "", ""), (5, "the dog ran", "", "", ""), (6, "the dog " * 100_000, "", "", "")]
     got = {r.doc_id: r for r in reading.reading_levels(spark.createDataFrame(rows, DOCS), models).collect()}
     assert [got[k].band for k in (1, 2, 3)] == [0, 0, 0] and not got[4].english and got[5].english and got[6].n_words == 200_000
+    assert len(models["table"]) == len(set(EASY + HARD))
     none = reading.train_models(docs.limit(0), labels.limit(0))
     assert [r.band for r in reading.reading_levels(spark.createDataFrame(rows, DOCS), none).collect()] == [0] * 7
     assert reading.band_report(reading.reading_levels(docs, models)).count() >= 3
