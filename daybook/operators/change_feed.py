@@ -12,7 +12,7 @@ key with a large part of all events is spread over several tasks.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.session import clean_key
@@ -52,6 +52,9 @@ def settled_events(changelog: DataFrame, *payload: str) -> DataFrame:
     return picked.groupBy("uid", "day", "run").agg(F.max("delivery").alias("delivery")).select("uid", "day", "run", "delivery.kind", *[f"delivery.{p}" for p in payload])
 
 
+_PAYLOAD = ("revision", "source_file_id", "to_file_id")
+
+
 def current_state(changelog: DataFrame, salt: int = SALT) -> DataFrame:
     """Records in force after all events: incident_uid, status, revision, source_file_id.
 
@@ -61,11 +64,21 @@ def current_state(changelog: DataFrame, salt: int = SALT) -> DataFrame:
     empty result; unknown event types and null columns change nothing but what
     they say (``added`` with a null revision sets null).
     """
-    events = settled_events(changelog, "revision", "source_file_id", "to_file_id")
-    seq = sequence_number(F.col("day"), F.col("run"))
-    deletes = events.filter("kind = 'source_removed'").groupBy("uid").agg(F.max(seq).alias("deleted_at"))
+    events = settled_events(changelog, *_PAYLOAD)
+    events = events.withColumn("seq", sequence_number(F.col("day"), F.col("run")))
+    return state_of(*_files(events), salt)
+
+
+def _files(events: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The insert file (versioned cells) and the delete file (keys) of settled events."""
+    inserts = events.filter(F.col("kind").isin(*STATUS_OF, "amended", "relocated"))
+    return inserts.select("uid", "seq", "kind", *_PAYLOAD), events.filter("kind = 'source_removed'").select("uid", "seq")
+
+
+def state_of(inserts: DataFrame, deletes: DataFrame, salt: int = SALT) -> DataFrame:
+    """The state that an insert file and a delete file stand for: inserts with a later delete of their key drop out, the newest cells hold."""
+    deletes = deletes.groupBy("uid").agg(F.max("seq").alias("deleted_at"))
     deletes = deletes.withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
-    inserts = events.filter(F.col("kind").isin(*STATUS_OF, "amended", "relocated")).withColumn("seq", seq)
     inserts = inserts.withColumn("slice", F.pmod(F.hash("seq"), F.lit(salt)))
     live = inserts.alias("i").join(
         deletes.alias("d"),
@@ -86,3 +99,24 @@ def current_state(changelog: DataFrame, salt: int = SALT) -> DataFrame:
         .filter("in_force")
         .select(F.col("uid").alias("incident_uid"), F.col("s.value").alias("status"), F.col("r.value").alias("revision"), F.col("f.value").alias("source_file_id"))
     )
+
+
+def append_feed(folder: str, changelog: DataFrame) -> None:
+    """Appends the deliveries of a feed to the insert files and the delete files below ``folder``.
+
+    Both keep the place of a delivery in the log, as a later one may correct an
+    earlier one of another kind; nothing that was written is changed.
+    """
+    kind = F.lower(F.btrim(F.col("change_type")))
+    rows = changelog.select(clean_key("incident_uid").alias("uid"), sequence_number(F.col("observed_date"), F.col("run_seq")).alias("seq"), "log_pos", kind.alias("kind"), *_PAYLOAD).filter("uid IS NOT NULL AND seq IS NOT NULL")
+    gone = F.coalesce(F.col("kind") == "source_removed", F.lit(False))
+    rows.filter(~gone).write.mode("append").parquet(f"{folder}/inserts")
+    rows.filter(gone).select("uid", "seq", "log_pos", "kind").write.mode("append").parquet(f"{folder}/deletes")
+
+
+def read_feed(spark: SparkSession, folder: str, salt: int = SALT) -> DataFrame:
+    """The state that the files below ``folder`` stand for; the same as :func:`current_state` of all that was appended."""
+    both = spark.read.parquet(f"{folder}/inserts").unionByName(spark.read.parquet(f"{folder}/deletes"), allowMissingColumns=True)
+    delivery = F.struct("log_pos", "kind", *_PAYLOAD)
+    settled = both.groupBy("uid", "seq").agg(F.max(delivery).alias("d")).select("uid", "seq", "d.kind", *[f"d.{p}" for p in _PAYLOAD])
+    return state_of(*_files(settled), salt)

@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from daybook.operators.change_feed import current_state
+from daybook.operators.change_feed import append_feed, current_state, read_feed
 from daybook.operators.history import attribute_history
 from daybook.operators.packed import NUMBERS, PROSE, unpack_fields
 from daybook.operators.snapshot_diff import snapshot_changes
 from daybook.operators.timestamps import resolve_timestamps
-from daybook.session import table
+from daybook.session import checkpoint_folder, table
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,6 +41,13 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return current_state(table(spark, sf_dir, "changelog"))
 
 
+def change_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from insert and delete files that the feed was appended to, read back."""
+    folder = f"{checkpoint_folder(spark)}/feed-{uuid.uuid4().hex}"
+    append_feed(folder, table(spark, sf_dir, "changelog"))
+    return read_feed(spark, folder)
+
+
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records added, removed and changed between consecutive snapshots."""
     return snapshot_changes(table(spark, sf_dir, "incident_snapshots"))
@@ -98,8 +106,8 @@ FROM diff JOIN n USING (k) WHERE k > 1 AND change_kind IS NOT NULL
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p1_found": p1_found, "p4_found": p4_found, "p5_found": p5_found, "p6_found": p6_found, "p7_found": p7_found}
+    return {"p1_found": p1_found, "p4_found": p4_found, "p5_found": p5_found, "p6_found": p6_found, "change_files": change_files, "p7_found": p7_found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p4_found": P4_SQL, "p6_found": P6_SQL, "p7_found": P7_SQL}
+    return {"p4_found": P4_SQL, "p6_found": P6_SQL, "change_files": P6_SQL, "p7_found": P7_SQL}

@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 #: Characters that count as blanks around keys: ASCII blanks and the no-break spaces.
@@ -89,6 +89,16 @@ class Written:
         self.paths.append(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def write_counted(self, df: DataFrame, **counts: Column) -> tuple[DataFrame, dict[str, int]]:
+        """The written table, and aggregates of its rows taken while they are written.
+
+        A task that is run twice may count twice, so a count says that there are
+        rows and about how many.
+        """
+        seen = Observation()
+        table = self.write(df.observe(seen, *[c.alias(name) for name, c in counts.items()]))
+        return table, seen.get
+
     def drop_before(self, keep: int) -> None:
         """Deletes all but the last ``keep`` tables."""
         jvm = self.spark.sparkContext._jvm

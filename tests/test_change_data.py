@@ -7,7 +7,7 @@ import random
 
 import pytest
 
-from daybook.operators.change_feed import STATUS_OF, current_state
+from daybook.operators.change_feed import STATUS_OF, append_feed, current_state, read_feed
 from daybook.operators.history import attribute_history
 from daybook.operators.snapshot_diff import snapshot_changes
 
@@ -88,6 +88,13 @@ def test_state_and_history_by_steps(spark, seed):
     assert sorted(map(tuple, attribute_history(log).collect()), key=str) == history_by_steps(rows)
 
 
+def test_insert_and_delete_files_read_as_the_feed(spark, tmp_path):
+    rows = random_log(7)
+    for batch in (rows[:150], rows[150:], rows[:30]):
+        append_feed(str(tmp_path), spark.createDataFrame(batch, LOG))
+    assert sorted(map(tuple, read_feed(spark, str(tmp_path)).collect())) == state_by_steps(rows)
+
+
 def test_a_version_that_holds_for_no_day_is_none(spark):
     def amend(day, run, old, new, uid="a"):
         return event(day * 10 + run, day, run, uid, "amended", "disposition_raw", old, new, 2)
