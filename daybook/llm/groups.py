@@ -60,26 +60,33 @@ def connected_groups(edges: DataFrame, left: str = "left", right: str = "right")
     """
     a, b = F.col(left), F.col(right)
     pairs = edges.filter(a.isNotNull() & b.isNotNull() & (a != b)).select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct()
-    written, steps = Written(edges.sparkSession), Written(edges.sparkSession)
-    pairs = written.write(pairs)
-    labels = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().withColumn("label", F.col("node"))
-    while count := pairs.count():
+    edges_of, kept = Written(edges.sparkSession), Written(edges.sparkSession)
+    nodes = kept.write(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
+    rounds: list[tuple[Written, DataFrame, int]] = []
+    pairs, seen = edges_of.write_counted(pairs, n=F.count(F.lit(1)))
+    while count := seen["n"]:
         both = pairs.select(F.col("a").alias("node"), F.col("b").alias("other")).union(pairs.select(F.col("b"), F.col("a")))
-        pointers = both.groupBy("node").agg(F.min("other").alias("other")).select("node", F.least("node", "other").alias("to"))
-        pointers = steps.write(pointers)
-        total = pointers.count()
-        jumping = True
-        while jumping:
-            jumped = steps.write(look_up(pointers, "to", pointers, "next", total).select("node", F.col("next").alias("to"), (F.col("next") != F.col("to")).alias("moves")))
-            jumping = bool(jumped.filter("moves").limit(1).count())
-            pointers = jumped.select("node", "to")
+        steps = Written(edges.sparkSession)
+        pointers = steps.write(both.groupBy("node").agg(F.min("other").alias("other")).select("node", F.least("node", "other").alias("to")))
+        moving = 1
+        while moving:
+            # There are at most two pointers an edge.
+            jumped = look_up(pointers, "to", pointers, "next", 2 * count).select("node", F.col("next").alias("to"), (F.col("next") != F.col("to")).alias("moves"))
+            pointers, jumps = steps.write_counted(jumped, moves=F.count_if("moves"))
+            pointers, moving = pointers.select("node", "to"), jumps["moves"]
             steps.drop_before(1)
+        rounds.append((steps, pointers, 2 * count))
         moved = look_up(look_up(pairs, "a", pointers, "x", count), "b", pointers, "y", count)
-        pairs = written.write(moved.filter("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
-        labels = look_up(labels, "label", pointers, "next", labels.count()).select("node", F.col("next").alias("label"))
-        labels = written.write(labels)
-        written.drop_before(2)  # the new pairs and labels stay
-        steps.drop_before(0)
+        pairs, seen = edges_of.write_counted(moved.filter("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), n=F.count(F.lit(1)))
+        edges_of.drop_before(1)
+    # The label of a node: where the pointers of all rounds take it, one after the other.
+    labels = nodes.withColumn("label", F.col("node"))
+    for _, pointers, most in rounds:
+        labels = look_up(labels, "label", pointers, "next", most).select("node", F.col("next").alias("label"))
+    labels = kept.write(labels)
+    kept.drop_before(1)
+    for tables in (edges_of, *(steps for steps, _, _ in rounds)):
+        tables.drop_before(0)
     return labels
 
 
