@@ -78,7 +78,7 @@ def replay_captures(spark: SparkSession, root: str, captures: DataFrame) -> dict
             if placed.isEmpty():
                 kind = "empty"
             else:
-                files = spark.createDataFrame([(f"wayback:{c['month']}", True, f"cleryapp {c['month']}", c["month"], False, False)], "source_file_id string, fetched boolean, name string, month string, removed boolean, repurposed boolean")
+                files = spark.createDataFrame([(f"wayback:{c['month']}", True, f"legacy {c['month']}", c["month"], False, False)], "source_file_id string, fetched boolean, name string, month string, removed boolean, repurposed boolean")
                 stamp = c["stamp"]
                 run = f"{stamp[:4]}-{stamp[4:6]}-{stamp[6:8]}.{stamp[8:]}.{re.sub(r'[^0-9A-Za-z]+', '_', c['month'])}"
                 apply_run(spark, root, key_records(placed), files, run, confirm_withdrawals=False, event_source="wayback", capture_timestamp=stamp)
