@@ -457,9 +457,9 @@ def snapshot_sizes(spark, d):
   w AS (SELECT *, lag(sha) OVER (PARTITION BY source_file_id ORDER BY date, seq) AS before, row_number() OVER (PARTITION BY source_file_id ORDER BY date, seq) AS nth FROM s)
   SELECT source_file_id, date, seq, sha AS sha256 FROM w WHERE nth = 1 OR sha <> before""")
 def snapshot_append(spark, d):
-    """Snapshots of each file that the snapshot writer would add to an empty index; content is told by sums of its rows' hashes, so no file's rows are gathered."""
+    """Snapshots of each file that the snapshot writer would add to an empty index; content is told by sums of its rows' hashes (decimals, as a bigint holds those of some 65,000 rows), so no file's rows are gathered."""
     h = F.md5(F.concat(F.col("source_row_index").cast("string"), F.lit("|"), F.coalesce(F.lower(F.trim("incident_uid")), F.lit(""))).cast("binary"))
-    part = lambda at: F.sum(F.conv(F.substring(h, at, 12), 16, 10).cast("bigint")).cast("string")
+    part = lambda at: F.sum(F.conv(F.substring(h, at, 12), 16, 10).cast("bigint").cast("decimal(20,0)")).cast("string")
     s = table(spark, d, "incident_snapshots").filter("source_file_id IS NOT NULL").groupBy("source_file_id", F.col("snapshot_date").alias("date"), F.col("snapshot_seq").alias("seq"))
     landed = s.agg(F.concat_ws("-", part(1), part(13), F.count("*").cast("string")).alias("sha256"), F.count("*").alias("bytes"))
     empty = spark.createDataFrame([], landed.schema)

@@ -40,6 +40,17 @@ def test_query_equals_sql(spark, tables, name):
     assert Counter(tuple(map(plain, r)) for r in frame.select(*columns).collect()) == expected
 
 
+def test_snapshot_append_of_a_file_with_many_rows(spark, tmp_path):
+    """80,000 rows a snapshot: the sums of their hashes are beyond a bigint. The second snapshot is as the first, the third isn't."""
+    path = str(tmp_path / "incident_snapshots.parquet")
+    rows = spark.range(80_000).selectExpr("cast(id as int) as source_row_index", "concat('U', id) as incident_uid", "'f' as source_file_id")
+    dated = rows.crossJoin(spark.range(1, 4).selectExpr("date'2026-08-03' as snapshot_date", "cast(id as int) as snapshot_seq"))
+    dated.filter("snapshot_seq < 3 or source_row_index > 0").write.parquet(path)
+    expected = duckdb.sql(SQL["snapshot_append"].replace("incident_snapshots", f"'{path}/*.parquet'")).fetchall()
+    got = QUERIES["snapshot_append"](spark, str(tmp_path)).select("source_file_id", "date", "seq", "sha256").collect()
+    assert sorted(map(tuple, got)) == sorted(expected) and sorted(r.seq for r in got) == [1, 3]
+
+
 def test_names_agree():
     assert set(SQL) <= set(QUERIES)
 
